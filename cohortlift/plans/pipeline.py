@@ -1,0 +1,179 @@
+"""The analysis as one composed plan.
+
+``Pipeline`` wires the operators in the reference's run order (audience ->
+tenure -> KPIs / save / winback -> labelled reports -> tests). Each step is a
+lazily built DataFrame, memoised so that a step used by several outputs is
+one node of the plan (Spark then reuses its shuffle exchanges).
+
+``materialise`` is the production path: it writes the reused intermediate
+tables (as the reference's CREATE TABLE steps do) to the shared folder named
+by ``spark.checkpoint.dir`` and continues from the written copies. That cuts
+lineage, and a lost executor then costs only the tasks of the current stage,
+not a recomputation of the audience from raw inputs.
+"""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import audience as A
+from ..operators import engagement as E
+from ..operators import lapse as LP
+from ..operators import report as R
+from ..operators import significance as SG
+from ..operators import tenure as TN
+from ..params import Params
+from ..sources.fixtures import Inputs
+
+
+class Pipeline:
+    def __init__(self, inputs: Inputs, params: Params):
+        self.i = inputs
+        self.p = params
+        self._overrides: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build):
+        if name in self._overrides:
+            return self._overrides[name]
+        return build()
+
+    # audience ------------------------------------------------------------
+    @functools.cached_property
+    def holdout_groups(self) -> DataFrame:
+        return self._get("holdout_groups", lambda: A.holdout_groups(self.i.backfills, self.i.audience_list))
+
+    @functools.cached_property
+    def household_signup(self) -> DataFrame:
+        return self._get("household_signup", lambda: A.household_signup(self.i.account_view))
+
+    @functools.cached_property
+    def holdout_users(self) -> DataFrame:
+        return self._get("holdout_users", lambda: A.holdout_users(
+            self.i.customer_keys, self.holdout_groups, self.household_signup, self.p))
+
+    def targetable(self, campaign: str) -> DataFrame:
+        return A.targetable(campaign, self.household_signup, self.holdout_users, self.p)
+
+    @functools.cached_property
+    def targetable_master(self) -> DataFrame:
+        return A.targetable_master(self.household_signup, self.holdout_users, self.p)
+
+    @functools.cached_property
+    def targetable_users(self) -> DataFrame:
+        return A.targetable_users(self.targetable_master, self.i.customer_keys)
+
+    @functools.cached_property
+    def all_audience(self) -> DataFrame:
+        return A.all_audience(self.holdout_users, self.targetable_users, self.p)
+
+    @functools.cached_property
+    def audience_signup(self) -> DataFrame:
+        return A.audience_signup(self.all_audience, self.household_signup)
+
+    @functools.cached_property
+    def adopter_group(self) -> DataFrame:
+        return A.adopter_group(self.audience_signup, self.p)
+
+    @functools.cached_property
+    def classification(self) -> DataFrame:
+        return self._get("classification", lambda: TN.tenure_classification(self.audience_signup, self.p))
+
+    @functools.cached_property
+    def audience_size(self) -> DataFrame:
+        return TN.audience_size(self.classification)
+
+    # engagement ----------------------------------------------------------
+    @functools.cached_property
+    def title_normalisation(self) -> DataFrame:
+        return E.title_normalisation(self.i.silver_video)
+
+    @functools.cached_property
+    def viewer_stats(self) -> DataFrame:
+        return E.viewer_stats(self.i.silver_video, self.classification, self.p)
+
+    @functools.cached_property
+    def cohort_kpis(self) -> DataFrame:
+        return self._get("cohort_kpis", lambda: E.cohort_kpis(self.viewer_stats, self.audience_size))
+
+    # save / winback ------------------------------------------------------
+    @functools.cached_property
+    def daily_last_view(self) -> DataFrame:
+        return self.i.daily_last_view_status
+
+    @functools.cached_property
+    def lapsing_save(self) -> DataFrame:
+        return LP.lapsing_save(self.daily_last_view, self.p)
+
+    @functools.cached_property
+    def returning_save(self) -> DataFrame:
+        return LP.returning_save(self.i.silver_video, self.lapsing_save, self.p)
+
+    @functools.cached_property
+    def save_rate(self) -> DataFrame:
+        return self._get("save_rate", lambda: LP.save_rate(
+            self.classification, self.lapsing_save, self.returning_save, self.p))
+
+    @functools.cached_property
+    def lapsing_winback(self) -> DataFrame:
+        return LP.lapsing_winback(self.daily_last_view, self.p)
+
+    @functools.cached_property
+    def returning_winback(self) -> DataFrame:
+        return LP.returning_winback(self.i.silver_video, self.lapsing_winback, self.p)
+
+    @functools.cached_property
+    def winback_rate(self) -> DataFrame:
+        return self._get("winback_rate", lambda: LP.winback_rate(
+            self.classification, self.lapsing_winback, self.returning_winback, self.p))
+
+    # reports and tests ---------------------------------------------------
+    @functools.cached_property
+    def kpi_report(self) -> DataFrame:
+        return R.kpi_report(self.cohort_kpis)
+
+    @functools.cached_property
+    def save_report(self) -> DataFrame:
+        return R.save_report(self.save_rate)
+
+    @functools.cached_property
+    def winback_report(self) -> DataFrame:
+        return R.winback_report(self.winback_rate)
+
+    def repertoire_significance(self) -> DataFrame:
+        return SG.t_test(R.labelled(self._kpi_stdv()), "repertoire", self.p)
+
+    def usage_significance(self) -> DataFrame:
+        return SG.t_test(R.labelled(self._kpi_stdv()), "usage", self.p)
+
+    def engagement_significance(self) -> DataFrame:
+        return SG.engagement_significance(R.labelled(self._kpi_stdv()), self.p)
+
+    def conversion_significance(self) -> DataFrame:
+        return SG.z_test(R.labelled(self.cohort_kpis), "conversions_watched_video", "audience_size", self.p)
+
+    def save_significance(self) -> DataFrame:
+        return SG.z_test(R.labelled(self.save_rate), "saves", "save_rate_denom", self.p)
+
+    def winback_significance(self) -> DataFrame:
+        return SG.z_test(R.labelled(self.winback_rate), "winbacks", "winback_rate_denom", self.p)
+
+    def _kpi_stdv(self) -> DataFrame:
+        return self.cohort_kpis.withColumnRenamed("repertoire_stddev", "repertoire_stdv")
+
+    # production path -----------------------------------------------------
+    def materialise(self, spark: SparkSession, root: str) -> "Pipeline":
+        """Write the reused intermediates under ``root`` and read them back.
+
+        Returns a new Pipeline whose later steps start from the written
+        tables. ``root`` must be shared storage (see ``session.shared_dir``).
+        """
+        out = Pipeline(self.i, self.p)
+        for name in ("household_signup", "holdout_groups", "holdout_users", "classification"):
+            df = getattr(out, name)
+            path = f"{root.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            out._overrides[name] = spark.read.parquet(path)
+            out.__dict__.pop(name, None)
+        return out
