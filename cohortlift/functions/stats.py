@@ -70,8 +70,8 @@ def t_two_sided_p(t: Column, df: Column, panels: int = 2000) -> Column:
 
     num = _simpson(lo, F.least(top, lo + F.lit(T_SPAN)), dens, panels)
     den = _simpson(F.lit(0.0), F.least(top, F.lit(T_SPAN)), dens, panels)
-    p = F.when(t.isNotNull() & (df > 0), num / den)
-    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+    # greatest/least skip NULLs, so clamp inside the CASE to keep NULL as NULL
+    return F.when(t.isNotNull() & (df > 0), F.least(F.greatest(num / den, F.lit(0.0)), F.lit(1.0)))
 
 
 def pooled_t(mean1, sd1, n1, mean2, sd2, n2) -> tuple[Column, Column]:

@@ -43,9 +43,12 @@ def daily_last_view(video: DataFrame, params: Params) -> DataFrame:
     inside = starts.filter(F.col("d") >= F.lit(lo)).distinct()
     points = before.unionByName(inside)
     nxt = F.lead("d").over(Window.partitionBy("tracking_id").orderBy("d"))
-    seg = points.select("tracking_id", "d", F.date_sub(nxt, 1).alias("until"))
-    days = F.sequence(F.greatest(F.col("d"), F.lit(lo)), F.coalesce(F.col("until"), F.lit(hi)))
-    return seg.select(F.explode(days).alias("report_date"), "tracking_id",
+    seg = points.select(
+        "tracking_id", "d",
+        F.greatest(F.col("d"), F.lit(lo)).alias("since"),
+        F.coalesce(F.date_sub(nxt, 1), F.lit(hi)).alias("until"),
+    ).filter(F.col("since") <= F.col("until"))  # the anchor is empty when a start falls on dlv_start
+    return seg.select(F.explode(F.sequence("since", "until")).alias("report_date"), "tracking_id",
                       F.col("d").alias("most_recent_start"))
 
 

@@ -29,6 +29,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     conf.update({
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("COHORTLIFT_DRIVER_MEMORY", "16g"),
     })
     conf.update(extra or {})

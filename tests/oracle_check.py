@@ -1,0 +1,86 @@
+"""Compare every ``queries()`` key with its DuckDB oracle.
+
+Usage: python tests/oracle_check.py [sf_dir] [key ...]
+Also imported by the test suite.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def compare(spark, sf_dir: str, key: str, con=None) -> tuple[bool, str]:
+    import __spark_entry__ as E
+
+    con = con or duck(sf_dir)
+    df = E.queries()[key](spark, sf_dir)
+    s_cols = df.columns
+    s_rows = [tuple(r) for r in df.collect()]
+    rel = con.execute(E.oracle_sql()[key])
+    d_cols = [d[0] for d in rel.description]
+    d_rows = rel.fetchall()
+    if sorted(s_cols) != sorted(d_cols):
+        return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    if len(s_rows) != len(d_rows):
+        return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
+    a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+    if a != b:
+        diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
+        return False, f"values differ (cols {sorted(s_cols)}): {diff}"
+    return True, f"{len(s_rows)} rows"
+
+
+def main():
+    from cohortlift.session import build_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    keys = sys.argv[2:]
+    import __spark_entry__ as E
+
+    spark = build_session("local[8]")
+    con = duck(sf_dir)
+    bad = 0
+    for k in keys or list(E.queries()):
+        try:
+            ok, msg = compare(spark, sf_dir, k, con)
+        except Exception as e:  # report and continue
+            ok, msg = False, f"{type(e).__name__}: {str(e)[:800]}"
+        bad += not ok
+        print(f"{'OK  ' if ok else 'FAIL'} {k:28s} {msg}", flush=True)
+    print(f"{bad} failing")
+
+
+if __name__ == "__main__":
+    main()
