@@ -10,7 +10,6 @@ CTEs; keep the two in step.
 from __future__ import annotations
 
 import calendar
-import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,49 +40,78 @@ BACKFILL_RESIDUES = {
 }
 
 
-@dataclasses.dataclass
 class Inputs:
-    """The pipeline's input tables, as DataFrames."""
+    """The pipeline's input tables, as DataFrames.
 
-    backfills: dict[str, DataFrame]
-    audience_list: DataFrame
-    customer_keys: DataFrame
-    account_view: DataFrame
-    silver_video: DataFrame
-    daily_last_view_status: DataFrame
+    Each table is given either as a DataFrame or as a zero-argument builder,
+    which is called on first use; a query then only plans the inputs it reads.
+    """
+
+    _NAMES = ("backfills", "audience_list", "customer_keys", "account_view", "silver_video",
+              "daily_last_view_status")
+
+    def __init__(self, **tables):
+        unknown = set(tables) - set(self._NAMES)
+        if unknown:
+            raise TypeError(f"unknown inputs: {sorted(unknown)}")
+        self._src = tables
+        self._built: dict = {}
+
+    def __getattr__(self, name):
+        if name.startswith("_") or name not in self._NAMES:
+            raise AttributeError(name)
+        if name not in self._built:
+            v = self._src[name]
+            self._built[name] = v() if callable(v) else v
+        return self._built[name]
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("k"))
 
 
+def _rows(ks: DataFrame, *variants) -> DataFrame:
+    """One scan of the keys; each key yields the variants whose condition holds.
+
+    ``variants`` are (condition, {column: expression}) pairs; a key's rows are
+    exploded from an array of structs, so the table costs one pass over
+    ``customer`` instead of a union of several scans.
+    """
+    cols = list(variants[0][1])
+    arr = F.array(*[F.when(cond, F.struct(*[e.alias(c) for c, e in exprs.items()])) for cond, exprs in variants])
+    return ks.select(F.explode(arr).alias("r")).filter(F.col("r").isNotNull()).select(
+        *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
 def account_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     base = calendar.timegm(OPTIN_BASE_UTC.timetuple())
     first = F.lit(base) - ((k * 7) % OPTIN_SPREAD_DAYS) * 86400
     hh = _keys(spark, sf_dir).filter(k % 50 != 49)
-    one = hh.select(k.alias("householdid"), F.timestamp_seconds(first).alias("targetedoptindate"))
-    two = hh.filter(k % 3 == 0).select(
-        k.alias("householdid"),
-        F.timestamp_seconds(first + OPTIN_SECOND_ROW_DAYS * 86400).alias("targetedoptindate"),
+    out = _rows(
+        hh,
+        (F.lit(True), {"householdid": k, "targetedoptindate": F.timestamp_seconds(first)}),
+        (k % 3 == 0, {"householdid": k,
+                      "targetedoptindate": F.timestamp_seconds(first + OPTIN_SECOND_ROW_DAYS * 86400)}),
     )
-    return S.conform(one.unionByName(two), S.ACCOUNT_VIEW)
+    return S.conform(out, S.ACCOUNT_VIEW)
 
 
 def customer_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    ks = _keys(spark, sf_dir)
-    ks_str = k.cast("string")
-    mp = ks.select(k.alias("profileid"), F.concat(F.lit("mp"), ks_str).alias("externalprofilerid"),
-                   F.lit("mparticle").alias("partnerorsystemid"))
-    mp_dup = mp.filter(F.col("profileid") % 25 == 7)
-    aid = ks.filter(~(k % 40).isin(30, 39)).select(
-        k.alias("profileid"), F.concat(F.lit("aid"), ks_str).alias("externalprofilerid"),
-        F.lit("trackingid").alias("partnerorsystemid"))
-    aid_b = ks.filter(k % 30 == 5).select(
-        k.alias("profileid"), F.concat(F.lit("aid"), ks_str, F.lit("b")).alias("externalprofilerid"),
-        F.lit("trackingid").alias("partnerorsystemid"))
-    out = mp.unionByName(mp_dup).unionByName(aid).unionByName(aid_b)
+    ks = k.cast("string")
+
+    def row(prefix, suffix, partner):
+        ext = F.concat(F.lit(prefix), ks, F.lit(suffix)) if suffix else F.concat(F.lit(prefix), ks)
+        return {"profileid": k, "externalprofilerid": ext, "partnerorsystemid": F.lit(partner)}
+
+    out = _rows(
+        _keys(spark, sf_dir),
+        (F.lit(True), row("mp", "", "mparticle")),
+        (k % 25 == 7, row("mp", "", "mparticle")),  # a duplicated mapping row
+        (~(k % 40).isin(30, 39), row("aid", "", "trackingid")),
+        (k % 30 == 5, row("aid", "b", "trackingid")),  # a second tracking id
+    )
     return S.conform(out, S.CUSTOMER_KEYS)
 
 
@@ -133,13 +161,12 @@ def silver_video(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
     from ..operators.lapse import daily_last_view
 
-    video = silver_video(spark, sf_dir)
-    return Inputs(
-        backfills={t: holdout_backfill(spark, sf_dir, t) for t in BACKFILL_RESIDUES},
-        audience_list=audience_list(spark, sf_dir),
-        customer_keys=customer_keys(spark, sf_dir),
-        account_view=account_view(spark, sf_dir),
-        silver_video=video,
-        daily_last_view_status=daily_last_view(video, params),
+    inputs = Inputs(
+        backfills=lambda: {t: holdout_backfill(spark, sf_dir, t) for t in BACKFILL_RESIDUES},
+        audience_list=lambda: audience_list(spark, sf_dir),
+        customer_keys=lambda: customer_keys(spark, sf_dir),
+        account_view=lambda: account_view(spark, sf_dir),
+        silver_video=lambda: silver_video(spark, sf_dir),
+        daily_last_view_status=lambda: daily_last_view(inputs.silver_video, params),
     )
-
+    return inputs

@@ -24,8 +24,21 @@ INPUT_SCHEMAS = {
 }
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's parquet tables.
+
+    The DataFrame is memoised per session and path: the driver's tables are
+    read-only, so the file listing and footer reads happen once per process.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (str(id(spark)), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def read_source(spark: SparkSession, location: str, name: str) -> DataFrame:
