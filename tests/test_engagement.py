@@ -1,0 +1,57 @@
+import datetime as dt
+
+import pytest
+
+from cohortlift.operators import engagement as E
+from cohortlift.params import Params
+
+P = Params(campaign_start_period=dt.date(2020, 12, 1))
+V = ("adobe_tracking_id string, adobe_timestamp timestamp_ntz, adobe_date date, consumption_type string, "
+     "program string, num_views_started int, num_views_completed int, num_seconds_played_no_ads double")
+C = "aid string, profileid long, audiencecohort string, signup_date date, tenure_classification string"
+
+
+def _play(aid, ts, ctype, prog, started=1, completed=0, secs=3600.0):
+    return (aid, ts, ts.date(), ctype, prog, started, completed, secs)
+
+
+def test_viewer_stats_and_kpis(spark):
+    t = dt.datetime
+    plays = spark.createDataFrame([
+        _play("a", t(2020, 12, 1, 0, 0), "VOD_ShortForm", "p1"),  # window start: in
+        _play("a", t(2020, 12, 2), "vod_SHORTFORM_x", "p2", completed=1),  # same title "shortform"
+        _play("a", t(2020, 12, 3), None, "p3"),
+        _play("a", t(2020, 12, 3), "LONG", "p4", started=0),  # not a start
+        _play("a", t(2021, 1, 1, 0, 0), "LONG", "p5"),  # window end: out
+        _play("a", t(2020, 11, 30, 23, 59), "LONG", "p6"),  # before: out
+        _play("b", t(2020, 12, 31, 23, 59), "LONG", "p1", completed=1, secs=1800.0),
+        _play("z", t(2020, 12, 5), "LONG", "p1"),  # not in the audience
+    ], V)
+    aud = spark.createDataFrame([
+        ("a", 1, "holdoutgroup_control", dt.date(2020, 1, 1), "THREE_PLUS_MONTHS"),
+        ("a", 1, "holdoutgroup_control", dt.date(2020, 1, 1), "THREE_PLUS_MONTHS"),  # duplicate row
+        ("b", 2, "holdoutgroup_control", dt.date(2020, 1, 1), "THREE_PLUS_MONTHS"),
+        ("c", 3, "holdoutgroup_control", dt.date(2020, 1, 1), "THREE_PLUS_MONTHS"),  # no plays
+    ], C)
+    vs = {r.aid: r for r in E.viewer_stats(plays, aud, P).collect()}
+    assert set(vs) == {"a", "b"}
+    a = vs["a"]
+    assert a.distinct_titles == 2  # shortform + p3
+    # duplicated audience row doubles the sums (as the reference's join does)
+    assert (a.content_starts, a.content_completed, a.total_hours) == (6, 2, 6.0)
+    k = E.cohort_kpis(E.viewer_stats(plays, aud, P), spark.createDataFrame(
+        [("holdoutgroup_control", "THREE_PLUS_MONTHS", 3)],
+        "audiencecohort string, tenure_classification string, audience_size long")).first()
+    assert k.conversions_watched_video == 2 and k.audience_size == 3
+    assert k.repertoire == pytest.approx(1.5) and k.avg_starts == pytest.approx(3.5)
+    assert k.usage == pytest.approx((6.0 + 0.5) / 2) and k.avg_completion_rate == pytest.approx(3 / 7)
+    assert (k.all_starts, k.all_completes) == (7, 3)
+
+
+def test_single_viewer_group_has_null_stddev(spark):
+    t = dt.datetime
+    plays = spark.createDataFrame([_play("a", t(2020, 12, 3), "LONG", "p1")], V)
+    aud = spark.createDataFrame([("a", 1, "x", None, None)], C)
+    k = E.cohort_kpis(E.viewer_stats(plays, aud, P)).first()
+    assert k.tenure_classification is None  # the NULL group is kept
+    assert k.repertoire_stddev is None and k.usage_stdv is None

@@ -1,0 +1,42 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlift.operators import report as R
+from cohortlift.operators import significance as SG
+from cohortlift.params import Params
+
+S = "audiencecohort string, tenure_classification string, save_rate_denom long, saves long, save_rate double"
+
+
+def test_labels(spark):
+    df = spark.createDataFrame([
+        ("holdoutgroup_braze", "T", 1, 1, 1.0), ("holdoutgroup_paiddis", "T", 1, 1, 1.0),
+        ("targetablegroup_paidsoc", "T", 1, 1, 1.0), ("targetablegroup_control", None, 1, 1, 1.0),
+        ("oddlabel", "T", 1, 1, 1.0), (None, "T", 1, 1, 1.0)], S)
+    got = sorted((r.cohort, r.targetable, r.tenure_classification or "") for r in R.save_report(df).collect())
+    assert got == [("All Paid Media", "Holdout", "T"), ("All Paid Media", "Holdout", "T"),
+                   ("All Paid Media", "Targetable", ""), ("Paid Display", "Holdout", "T"),
+                   ("Paid Social", "Targetable", "T")]
+    # sorted by cohort, tenure (missing last), arm
+    order = [(r.cohort, r.tenure_classification) for r in R.save_report(df).collect()]
+    assert order[2] == ("All Paid Media", None)
+
+
+def test_pairing_skips_missing_arm_and_null_tenure(spark):
+    df = spark.createDataFrame([
+        ("targetablegroup_control", "A", 100, 30, 0.3), ("holdoutgroup_control", "A", 110, 45, 0.4),
+        ("targetablegroup_paidsoc", "A", 100, 30, 0.3),  # no holdout arm
+        ("targetablegroup_control", None, 10, 3, 0.3), ("holdoutgroup_control", None, 10, 4, 0.4),
+    ], S)
+    out = SG.z_test(R.labelled(df), "saves", "save_rate_denom", Params()).collect()
+    assert [(r.cohort, r.tenure_classification) for r in out] == [("All Paid Media", "A")]
+    assert out[0].z < 0 and out[0].saves_significance in ("Yes", "No")
+    with pytest.raises(Exception, match="lacks an arm"):
+        SG.z_test(R.labelled(df), "saves", "save_rate_denom", Params(), on_missing_arm="error").collect()
+
+
+def test_zero_saves_both_arms_is_yes(spark):
+    df = spark.createDataFrame([("targetablegroup_control", "A", 5, 0, 0.0),
+                                ("holdoutgroup_control", "A", 7, 0, 0.0)], S)
+    r = SG.z_test(R.labelled(df), "saves", "save_rate_denom", Params()).first()
+    assert r.z is None and r.p_value is None and r.saves_significance == "Yes"
