@@ -1,9 +1,11 @@
 """Two-sample tests as Spark column expressions.
 
 Spark SQL has neither erf nor a t-distribution CDF, and the tests run on a
-handful of aggregated rows, so the tail probabilities are integrated with
-Simpson's rule inside a higher-order ``aggregate`` over ``sequence(0, N)``:
-everything stays a JVM expression, no Python UDF.
+handful of aggregated rows, so the tail probabilities are integrated
+numerically with composite Gauss-Legendre quadrature (unit-width panels,
+8 nodes each) inside a higher-order ``aggregate``: everything stays a JVM
+expression, no Python UDF. The integrands are smooth and decay like
+exp(-u^2/2), where 8 nodes per unit panel are accurate to ~1e-12.
 
 Undefined results (zero variance, df = 0, a NULL input) are NULL, never NaN.
 A NULL p-value then gets the flag 'Yes', which is what a NaN p-value gives in
@@ -14,47 +16,51 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Normal tail: integrate exp(-u^2/2) from |z| over this many units.
-NORMAL_SPAN = 12.0
+NORMAL_SPAN = 12
 # t tail: in u = theta * sqrt(df) the integrand behaves like exp(-u^2/2) for
 # large df; beyond 40 units it is below double precision.
-T_SPAN = 40.0
+T_SPAN = 40
+# Gauss-Legendre rule per panel: node positions in [0, 1] and weights summing to 1.
+GL_NODES = 8
+_x, _w = np.polynomial.legendre.leggauss(GL_NODES)
+GL_OFFSETS = [float(v) for v in (_x + 1.0) / 2.0]
+GL_WEIGHTS = [float(v) for v in _w / 2.0]
 
 
 def _safe_div(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
-def _simpson(lo: Column, hi: Column, f, panels: int) -> Column:
-    """Simpson's rule of ``f`` over [lo, hi] with ``panels`` (even) panels."""
-    if panels % 2:
-        raise ValueError("panels must be even")
-    h = (hi - lo) / F.lit(float(panels))
+def _quad(lo: Column, hi: Column, f, panels: int) -> Column:
+    """Integral of ``f`` over [lo, hi] with ``panels`` equal panels."""
+    k = GL_NODES
+    width = (hi - lo) / F.lit(float(panels))
+    offs = F.array(*[F.lit(v) for v in GL_OFFSETS])
+    wts = F.array(*[F.lit(v) for v in GL_WEIGHTS])
 
     def step(acc, i):
-        w = (
-            F.when((i == 0) | (i == panels), F.lit(1.0))
-            .when(i % 2 == 1, F.lit(4.0))
-            .otherwise(F.lit(2.0))
-        )
-        return acc + w * f(lo + i.cast("double") * h)
+        node = i % k + 1
+        x = lo + ((i / k).cast("int").cast("double") + F.element_at(offs, node)) * width
+        return acc + F.element_at(wts, node) * f(x)
 
-    total = F.aggregate(F.sequence(F.lit(0), F.lit(panels)), F.lit(0.0), step)
-    return total * h / F.lit(3.0)
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(panels * k - 1)), F.lit(0.0), step)
+    return total * width
 
 
-def normal_two_sided_p(z: Column, panels: int = 2000) -> Column:
+def normal_two_sided_p(z: Column) -> Column:
     """P(|Z| >= |z|) for standard normal Z; NULL if z is NULL."""
     a = F.abs(z)
-    tail = _simpson(a, a + F.lit(NORMAL_SPAN), lambda u: F.exp(-u * u / F.lit(2.0)), panels)
+    tail = _quad(a, a + F.lit(float(NORMAL_SPAN)), lambda u: F.exp(-u * u / F.lit(2.0)), NORMAL_SPAN)
     p = tail * F.lit(2.0 / math.sqrt(2.0 * math.pi))
     return F.when(z.isNotNull(), F.least(p, F.lit(1.0)))
 
 
-def t_two_sided_p(t: Column, df: Column, panels: int = 2000) -> Column:
+def t_two_sided_p(t: Column, df: Column) -> Column:
     """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom.
 
     With t = sqrt(df) tan(theta) the density is proportional to
@@ -68,8 +74,8 @@ def t_two_sided_p(t: Column, df: Column, panels: int = 2000) -> Column:
     def dens(u):
         return F.pow(F.cos(u / r), df.cast("double") - F.lit(1.0))
 
-    num = _simpson(lo, F.least(top, lo + F.lit(T_SPAN)), dens, panels)
-    den = _simpson(F.lit(0.0), F.least(top, F.lit(T_SPAN)), dens, panels)
+    num = _quad(lo, F.least(top, lo + F.lit(float(T_SPAN))), dens, T_SPAN)
+    den = _quad(F.lit(0.0), F.least(top, F.lit(float(T_SPAN))), dens, T_SPAN)
     # greatest/least skip NULLs, so clamp inside the CASE to keep NULL as NULL
     return F.when(t.isNotNull() & (df > 0), F.least(F.greatest(num / den, F.lit(0.0)), F.lit(1.0)))
 

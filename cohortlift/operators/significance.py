@@ -49,7 +49,7 @@ def t_test(report: DataFrame, stat: str, params: Params, on_missing_arm: str = "
     t, df = ST.pooled_t(F.col(f"t_{stat}"), F.col(f"t_{sd}"), F.col("t_audience_size"),
                         F.col(f"h_{stat}"), F.col(f"h_{sd}"), F.col("h_audience_size"))
     p = p.select(*GROUP, t.alias("t"), df.alias("df"))
-    p = p.withColumn("p_value", ST.t_two_sided_p(F.col("t"), F.col("df"), params.simpson_panels))
+    p = p.withColumn("p_value", ST.t_two_sided_p(F.col("t"), F.col("df")))
     return p.select(
         *GROUP, F.round("t", ROUND).alias("t"), "df", F.round("p_value", ROUND).alias("p_value"),
         ST.significance_flag(F.col("p_value"), params.alpha).alias(f"{stat}_significance"))
@@ -60,7 +60,7 @@ def z_test(report: DataFrame, count: str, nobs: str, params: Params, on_missing_
     p = paired(report, [count, nobs], on_missing_arm)
     z = ST.pooled_z(F.col(f"t_{count}"), F.col(f"t_{nobs}"), F.col(f"h_{count}"), F.col(f"h_{nobs}"))
     p = p.select(*GROUP, z.alias("z"))
-    p = p.withColumn("p_value", ST.normal_two_sided_p(F.col("z"), params.simpson_panels))
+    p = p.withColumn("p_value", ST.normal_two_sided_p(F.col("z")))
     return p.select(
         *GROUP, F.round("z", ROUND).alias("z"), F.round("p_value", ROUND).alias("p_value"),
         ST.significance_flag(F.col("p_value"), params.alpha).alias(f"{count}_significance"))
@@ -71,10 +71,12 @@ def engagement_significance(report: DataFrame, params: Params, on_missing_arm: s
     stats = ["repertoire", "usage"]
     sd = {"repertoire": "repertoire_stdv", "usage": "usage_stdv"}
     p = paired(report, stats + list(sd.values()) + ["audience_size"], on_missing_arm)
-    flags = []
+    tstats = []
     for s in stats:
         t, df = ST.pooled_t(F.col(f"t_{s}"), F.col(f"t_{sd[s]}"), F.col("t_audience_size"),
                             F.col(f"h_{s}"), F.col(f"h_{sd[s]}"), F.col("h_audience_size"))
-        pv = ST.t_two_sided_p(t, df, params.simpson_panels)
-        flags.append(ST.significance_flag(pv, params.alpha).alias(f"{s}_significance"))
-    return p.select(*GROUP, *flags)
+        tstats += [t.alias(f"{s}_t"), df.alias(f"{s}_df")]
+    p = p.select(*GROUP, *tstats)
+    p = p.select(*GROUP, *[ST.t_two_sided_p(F.col(f"{s}_t"), F.col(f"{s}_df")).alias(f"{s}_p") for s in stats])
+    return p.select(*GROUP, *[ST.significance_flag(F.col(f"{s}_p"), params.alpha).alias(f"{s}_significance")
+                              for s in stats])

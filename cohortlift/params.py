@@ -50,8 +50,6 @@ class Params:
     # Also filter plays on adobe_date for partition pruning; valid only where
     # adobe_date = date(adobe_timestamp).
     prune_on_play_date: bool = True
-    # Simpson panels for p-value integrals (even)
-    simpson_panels: int = 2000
     # daily_last_view support table: report dates produced
     dlv_start: Date = Date(2020, 11, 1)
     dlv_end: Date = Date(2020, 12, 31)

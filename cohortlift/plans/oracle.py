@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 
 from ..functions import labels as L
-from ..functions.stats import NORMAL_SPAN, T_SPAN
+from ..functions.stats import GL_NODES, GL_OFFSETS, GL_WEIGHTS, NORMAL_SPAN, T_SPAN
 from ..params import FIXTURE_PARAMS, Params
 from ..sources import fixtures as FX
 
@@ -28,21 +28,24 @@ def _ny_date(col: str) -> str:
     return f"CAST(timezone('{NY}', timezone('UTC', {col})) AS DATE)"
 
 
-def _simpson(lo: str, hi: str, f, n: int) -> str:
-    """Simpson's rule of f over [lo, hi] as a DuckDB list expression."""
-    h = f"(({hi}) - ({lo})) / {float(n)}"
-    w = f"(CASE WHEN i = 0 OR i = {n} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)::DOUBLE"
-    return (f"(list_sum(list_transform(range(0, {n + 1}), lambda i: {w} * "
-            f"({f(f'(({lo}) + i::DOUBLE * {h})')}))) * {h} / 3.0)")
+def _quad(lo: str, hi: str, f, panels: int) -> str:
+    """Composite Gauss-Legendre integral of f over [lo, hi] as a DuckDB list expression."""
+    k = GL_NODES
+    w = f"((({hi}) - ({lo})) / {float(panels)})"
+    offs = "([" + ", ".join(repr(v) for v in GL_OFFSETS) + "]::DOUBLE[])"
+    wts = "([" + ", ".join(repr(v) for v in GL_WEIGHTS) + "]::DOUBLE[])"
+    x = f"(({lo}) + (CAST(i // {k} AS DOUBLE) + {offs}[i % {k} + 1]) * {w})"
+    return (f"(list_sum(list_transform(range(0, {panels * k}), lambda i: {wts}[i % {k} + 1] * ({f(x)}))) "
+            f"* {w})")
 
 
-def _normal_p(z: str, n: int) -> str:
+def _normal_p(z: str) -> str:
     a = f"abs({z})"
-    tail = _simpson(a, f"{a} + {NORMAL_SPAN}", lambda u: f"exp(-({u}) * ({u}) / 2.0)", n)
+    tail = _quad(a, f"{a} + {float(NORMAL_SPAN)}", lambda u: f"exp(-({u}) * ({u}) / 2.0)", NORMAL_SPAN)
     return f"(CASE WHEN {z} IS NOT NULL THEN least({tail} * (2.0 / sqrt(2.0 * pi())), 1.0) END)"
 
 
-def _t_p(t: str, df: str, n: int) -> str:
+def _t_p(t: str, df: str) -> str:
     r = f"sqrt({df})"
     top = f"({r} * pi() / 2.0)"
     lo = f"({r} * atan(abs({t}) / {r}))"
@@ -50,8 +53,8 @@ def _t_p(t: str, df: str, n: int) -> str:
     def dens(u):
         return f"pow(cos(({u}) / {r}), {df} - 1.0)"
 
-    num = _simpson(lo, f"least({top}, {lo} + {T_SPAN})", dens, n)
-    den = _simpson("0.0", f"least({top}, {T_SPAN})", dens, n)
+    num = _quad(lo, f"least({top}, {lo} + {float(T_SPAN)})", dens, T_SPAN)
+    den = _quad("0.0", f"least({top}, {float(T_SPAN)})", dens, T_SPAN)
     return f"(CASE WHEN {t} IS NOT NULL AND {df} > 0 THEN least(greatest({num} / {den}, 0.0), 1.0) END)"
 
 
@@ -286,7 +289,6 @@ def _ctes(p: Params) -> list[tuple[str, str]]:
             FROM (SELECT * FROM {src} WHERE targetable = '{L.DISPLAY_TARGETABLE}') t
             JOIN (SELECT * FROM {src} WHERE targetable <> '{L.DISPLAY_TARGETABLE}') h
               ON t.cohort = h.cohort AND t.tenure_classification = h.tenure_classification"""))
-    n = p.simpson_panels
     for stat, sd in (("repertoire", "repertoire_stddev"), ("usage", "usage_stdv")):
         ctes.append((f"tt_{stat}", f"""
             SELECT cohort, tenure_classification, df,
@@ -301,7 +303,7 @@ def _ctes(p: Params) -> list[tuple[str, str]]:
                                      CAST((t).audience_size + (h).audience_size - 2 AS DOUBLE) AS df
                               FROM pair_kpi)))"""))
         ctes.append((f"tp_{stat}", f"""
-            SELECT *, {_t_p('t', 'df', n)} AS p_value FROM tt_{stat}"""))
+            SELECT *, {_t_p('t', 'df')} AS p_value FROM tt_{stat}"""))
     for name, src, cnt, nobs in (("conv", "pair_kpi", "conversions_watched_video", "audience_size"),
                                  ("save", "pair_save", "saves", "save_rate_denom"),
                                  ("winback", "pair_winback", "winbacks", "winback_rate_denom")):
@@ -315,7 +317,7 @@ def _ctes(p: Params) -> list[tuple[str, str]]:
                                      CAST((t).{nobs} AS DOUBLE) AS n1, CAST((h).{nobs} AS DOUBLE) AS n2
                               FROM {src})))"""))
         ctes.append((f"zp_{name}", f"""
-            SELECT *, {_normal_p('z', n)} AS p_value FROM zz_{name}"""))
+            SELECT *, {_normal_p('z')} AS p_value FROM zz_{name}"""))
     return ctes
 
 

@@ -100,11 +100,12 @@ class Pipeline:
     # save / winback ------------------------------------------------------
     @functools.cached_property
     def daily_last_view(self) -> DataFrame:
-        return self.i.daily_last_view_status
+        """The support operator: daily last-start status derived from plays."""
+        return LP.daily_last_view(self.i.silver_video, self.p)
 
     @functools.cached_property
     def lapsing_save(self) -> DataFrame:
-        return LP.lapsing_save(self.daily_last_view, self.p)
+        return LP.lapsing_save(self.i.daily_last_view_status, self.p)
 
     @functools.cached_property
     def returning_save(self) -> DataFrame:
@@ -117,7 +118,7 @@ class Pipeline:
 
     @functools.cached_property
     def lapsing_winback(self) -> DataFrame:
-        return LP.lapsing_winback(self.daily_last_view, self.p)
+        return LP.lapsing_winback(self.i.daily_last_view_status, self.p)
 
     @functools.cached_property
     def returning_winback(self) -> DataFrame:

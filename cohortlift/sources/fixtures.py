@@ -158,7 +158,8 @@ def silver_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.conform(out, S.SILVER_VIDEO)
 
 
-def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
+def view_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
+    """The inputs as lazy views over the driver's tables."""
     from ..operators.lapse import daily_last_view
 
     inputs = Inputs(
@@ -170,3 +171,55 @@ def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAM
         daily_last_view_status=lambda: daily_last_view(inputs.silver_video, params),
     )
     return inputs
+
+
+_TABLES: dict[tuple, Inputs] = {}
+
+
+def table_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
+    """The inputs written once per session as Parquet tables in the shared
+    folder and read back, as the reference reads warehouse tables.
+
+    The play and daily-status tables are range-clustered by date, so the
+    Parquet footers' min/max statistics let date filters skip whole files
+    (what partitioning by date does for a production play table).
+    """
+    import uuid
+
+    from ..session import shared_dir
+
+    key = (id(spark), sf_dir, params.dlv_start, params.dlv_end)
+    got = _TABLES.get(key)
+    if got is not None and got._spark is spark:
+        return got
+    root = f"{shared_dir(spark).rstrip('/')}/fixtures/{uuid.uuid4().hex}"
+    v = view_inputs(spark, sf_dir, params)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def put(name: str, df: DataFrame, cluster: str | None = None) -> DataFrame:
+        path = f"{root}/{name}"
+        if cluster:
+            df = df.repartitionByRange(n, cluster).sortWithinPartitions(cluster)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    out = Inputs(
+        backfills={t: put(t, df) for t, df in v.backfills.items()},
+        audience_list=put("audience_list", v.audience_list),
+        customer_keys=put("customer_keys", v.customer_keys),
+        account_view=put("account_view", v.account_view),
+        silver_video=put("silver_video", v.silver_video, "adobe_date"),
+        daily_last_view_status=put("daily_last_view_status", v.daily_last_view_status, "report_date"),
+    )
+    out._spark = spark
+    _TABLES[key] = out
+    return out
+
+
+def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
+    """Fixture inputs: tables (default) or lazy views (COHORTLIFT_FIXTURES=views)."""
+    import os
+
+    if os.environ.get("COHORTLIFT_FIXTURES", "tables") == "views":
+        return view_inputs(spark, sf_dir, params)
+    return table_inputs(spark, sf_dir, params)
