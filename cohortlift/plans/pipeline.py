@@ -5,11 +5,11 @@ tenure -> KPIs / save / winback -> labelled reports -> tests). Each step is a
 lazily built DataFrame, memoised so that a step used by several outputs is
 one node of the plan (Spark then reuses its shuffle exchanges).
 
-``materialise`` is the production path: it writes the reused intermediate
-tables (as the reference's CREATE TABLE steps do) to the shared folder named
-by ``spark.checkpoint.dir`` and continues from the written copies. That cuts
-lineage, and a lost executor then costs only the tasks of the current stage,
-not a recomputation of the audience from raw inputs.
+``materialise`` is the production path: it writes the audience steps in
+order (as the reference's CREATE TABLE statements do) to the shared folder
+named by ``spark.checkpoint.dir`` and continues from the written copies. That
+cuts lineage, and a lost executor then costs only the tasks of the current
+stage, not a recomputation of the audience from raw inputs.
 """
 
 from __future__ import annotations
@@ -58,19 +58,21 @@ class Pipeline:
 
     @functools.cached_property
     def targetable_master(self) -> DataFrame:
-        return A.targetable_master(self.household_signup, self.holdout_users, self.p)
+        return self._get("targetable_master", lambda: A.targetable_master(
+            self.household_signup, self.holdout_users, self.p))
 
     @functools.cached_property
     def targetable_users(self) -> DataFrame:
-        return A.targetable_users(self.targetable_master, self.i.customer_keys)
+        return self._get("targetable_users", lambda: A.targetable_users(
+            self.targetable_master, self.i.customer_keys))
 
     @functools.cached_property
     def all_audience(self) -> DataFrame:
-        return A.all_audience(self.holdout_users, self.targetable_users, self.p)
+        return self._get("all_audience", lambda: A.all_audience(self.holdout_users, self.targetable_users, self.p))
 
     @functools.cached_property
     def audience_signup(self) -> DataFrame:
-        return A.audience_signup(self.all_audience, self.household_signup)
+        return self._get("audience_signup", lambda: A.audience_signup(self.all_audience, self.household_signup))
 
     @functools.cached_property
     def adopter_group(self) -> DataFrame:
@@ -164,17 +166,30 @@ class Pipeline:
         return self.cohort_kpis.withColumnRenamed("repertoire_stddev", "repertoire_stdv")
 
     # production path -----------------------------------------------------
-    def materialise(self, spark: SparkSession, root: str) -> "Pipeline":
-        """Write the reused intermediates under ``root`` and read them back.
+    # The reference's run order: each statement writes a table the next reads.
+    STAGES = ("holdout_groups", "household_signup", "holdout_users", "targetable_master", "targetable_users",
+              "all_audience", "audience_signup", "classification")
 
-        Returns a new Pipeline whose later steps start from the written
-        tables. ``root`` must be shared storage (see ``session.shared_dir``).
-        """
+    def with_tables(self, tables: dict[str, DataFrame]) -> "Pipeline":
+        """A Pipeline that reads the given steps from ``tables`` instead of computing them."""
         out = Pipeline(self.i, self.p)
-        for name in ("household_signup", "holdout_groups", "holdout_users", "classification"):
-            df = getattr(out, name)
+        out._overrides = dict(tables)
+        return out
+
+    def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Pipeline":
+        """Write each step of ``stages`` under ``root`` in order, every step
+        computed from the already written ones, and return a Pipeline that
+        reads them.
+
+        ``root`` must be shared storage (``session.shared_dir``): the written
+        tables cut the lineage, so a lost executor costs only the tasks of
+        the running stage, never a recomputation of the audience from raw
+        inputs.
+        """
+        tables: dict[str, DataFrame] = {}
+        for name in stages:
+            df = getattr(self.with_tables(tables), name)
             path = f"{root.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(path)
-            out._overrides[name] = spark.read.parquet(path)
-            out.__dict__.pop(name, None)
-        return out
+            tables[name] = spark.read.parquet(path)
+        return self.with_tables(tables)
