@@ -81,16 +81,27 @@ def holdout_users(
 ) -> DataFrame:
     """(profileid, mparticleid, audiencecohort, aid, signup_date) of holdout profiles.
 
-    Join multiplicity is kept: an external id on k mapping rows matches k x k
-    times, and every tracking id of a profile gives a row (aid NULL if none).
-    Only profiles whose signup is before the tenure threshold are kept.
+    Join multiplicity is kept: the reference joins the mapping to (mapping x
+    list) on the external id, so an id on k mapping rows matches k x k times,
+    and every tracking id of a profile gives a row (aid NULL if none). Only
+    profiles whose signup is before the tenure threshold are kept.
+
+    The k x k self-join is not executed as such: the mapping rows per id are
+    counted (a partial aggregation), the count joins the id's labels (at most
+    one row per label), and each mapping row is then repeated ``count`` times
+    in place. A hot id thus never meets its own rows in one join task.
     """
     threshold = params.tenure_threshold if threshold is None else threshold
     ckm = customer_keys.select("profileid", "externalprofilerid")
-    listed = ckm.join(holdouts, ckm.externalprofilerid == holdouts.identity_value).select(
-        F.col("externalprofilerid").alias("mparticleid"), "audiencecohort")
-    members = ckm.join(listed, ckm.externalprofilerid == listed.mparticleid).select(
-        "profileid", "mparticleid", "audiencecohort")
+    per_id = ckm.groupBy("externalprofilerid").agg(F.count(F.lit(1)).alias("_k"))
+    labels = holdouts.join(per_id, holdouts.identity_value == per_id.externalprofilerid).select(
+        F.col("identity_value").alias("mparticleid"), "audiencecohort", "_k")
+    members = (
+        ckm.join(labels, ckm.externalprofilerid == labels.mparticleid)
+        .select("profileid", "mparticleid", "audiencecohort",
+                F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_copy"))
+        .drop("_copy")
+    )
     tenured = signup.filter(F.col("signup_date") < F.lit(threshold))
     with_signup = members.join(tenured, members.profileid == tenured.householdid).drop("householdid")
     return with_signup.join(tracking_ids(customer_keys), "profileid", "left").select(
