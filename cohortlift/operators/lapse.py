@@ -98,18 +98,36 @@ def returning_save(video: DataFrame, lapsing: DataFrame, params: Params) -> Data
         F.col("tracking_id").alias("adobe_tracking_id")).distinct()
 
 
-def returning_winback(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
-    """(adobe_tracking_id): viewers with a started play in the winback month
-    30+ days after one of their lapse starts."""
+def winback_flags(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
+    """(tracking_id, back): every lapsing viewer once, back = 1 if won back, else NULL.
+
+    One aggregation of the lapse rows gives both the lapser set and each
+    lapser's earliest start; one aggregation of the month's plays gives each
+    viewer's latest play.
+    """
     first = lapsing.groupBy("tracking_id").agg(F.min("most_recent_start").alias("first_start"))
     last = _started_play_days(video, params.winback_report_start, params.winback_report_end).groupBy(
         "tracking_id").agg(F.max("day").alias("last_play"))
-    return first.join(last, "tracking_id").filter(
-        F.col("last_play") >= F.date_add("first_start", params.winback_gap_min)
-    ).select(F.col("tracking_id").alias("adobe_tracking_id"))
+    won = F.col("last_play") >= F.date_add("first_start", params.winback_gap_min)
+    return first.join(last, "tracking_id", "left").select(
+        "tracking_id", F.when(won, F.lit(1)).alias("back"))
+
+
+def returning_winback(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
+    """(adobe_tracking_id): viewers with a started play in the winback month
+    30+ days after one of their lapse starts."""
+    return winback_flags(video, lapsing, params).filter(F.col("back").isNotNull()).select(
+        F.col("tracking_id").alias("adobe_tracking_id"))
+
+
+def _flags(lapsing: DataFrame, returning: DataFrame) -> DataFrame:
+    """(tracking_id, back) for every lapsing viewer, from a separate returning set."""
+    lapsers = lapsing.select("tracking_id").distinct()
+    ret = returning.select(F.col("adobe_tracking_id").alias("tracking_id"), F.lit(1).alias("back"))
+    return lapsers.join(ret, "tracking_id", "left")
 
 
-def _rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, signup_ok: F.Column,
+def _rate(classification: DataFrame, flagged: DataFrame, signup_ok: F.Column,
           denom: str, num: str, rate: str) -> DataFrame:
     """Per cohort x tenure: distinct lapsing viewers, distinct returning ones, ratio.
 
@@ -117,9 +135,6 @@ def _rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, s
     partitioned by aid, so the only further shuffle is the partial-aggregated
     one of the final (tiny) group-by.
     """
-    lapsers = lapsing.select("tracking_id").distinct()
-    ret = returning.select(F.col("adobe_tracking_id").alias("tracking_id"), F.lit(1).alias("back"))
-    flagged = lapsers.join(ret, "tracking_id", "left")
     aud = classification.filter(signup_ok).select("aid", *KEYS)
     j = aud.join(flagged, aud.aid == flagged.tracking_id)
     per_viewer = j.groupBy("aid", *KEYS).agg(F.max("back").alias("back"))
@@ -132,9 +147,11 @@ def _rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, s
 
 def save_rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, params: Params) -> DataFrame:
     ok = F.col("signup_date") >= F.lit(params.save_signup_floor)
-    return _rate(classification, lapsing, returning, ok, "save_rate_denom", "saves", "save_rate")
+    return _rate(classification, _flags(lapsing, returning), ok, "save_rate_denom", "saves", "save_rate")
 
 
-def winback_rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, params: Params) -> DataFrame:
+def winback_rate(classification: DataFrame, lapsing: DataFrame, video: DataFrame, params: Params) -> DataFrame:
+    """Winback rate; the returning viewers are derived from ``lapsing`` and the plays in one pass."""
     ok = F.col("signup_date").between(F.lit(params.winback_signup_floor), F.lit(params.winback_signup_ceiling))
-    return _rate(classification, lapsing, returning, ok, "winback_rate_denom", "winbacks", "winback_rate")
+    return _rate(classification, winback_flags(video, lapsing, params), ok,
+                 "winback_rate_denom", "winbacks", "winback_rate")

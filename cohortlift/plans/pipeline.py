@@ -129,7 +129,7 @@ class Pipeline:
     @functools.cached_property
     def winback_rate(self) -> DataFrame:
         return self._get("winback_rate", lambda: LP.winback_rate(
-            self.classification, self.lapsing_winback, self.returning_winback, self.p))
+            self.classification, self.lapsing_winback, self.i.silver_video, self.p))
 
     # reports and tests ---------------------------------------------------
     @functools.cached_property

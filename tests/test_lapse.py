@@ -107,8 +107,7 @@ def test_save_and_winback_match_literal_semantics(spark, seed):
     sr = LP.save_rate(aud, LP.lapsing_save(dlv_df, P), LP.returning_save(video, LP.lapsing_save(dlv_df, P), P), P)
     got = {(r.audiencecohort, r.tenure_classification): (r.save_rate_denom, r.saves) for r in sr.collect()}
     assert got == brute_rate(lap, savers, lambda su: su >= P.save_signup_floor)
-    wr = LP.winback_rate(aud, LP.lapsing_winback(dlv_df, P),
-                         LP.returning_winback(video, LP.lapsing_winback(dlv_df, P), P), P)
+    wr = LP.winback_rate(aud, LP.lapsing_winback(dlv_df, P), video, P)
     got = {(r.audiencecohort, r.tenure_classification): (r.winback_rate_denom, r.winbacks) for r in wr.collect()}
     assert got == brute_rate(wl, winners, lambda su: P.winback_signup_floor <= su <= P.winback_signup_ceiling)
 
