@@ -21,7 +21,9 @@ def date_lit(d: dt.date) -> Column:
 def ntz_midnight(d: dt.date) -> Column:
     """A DATE as a TIMESTAMP_NTZ literal (matches a DATETIME column in type,
     so the comparison is pushed down to the Parquet scan)."""
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    # DATE -> TIMESTAMP_NTZ is midnight in every zone; a Python datetime
+    # literal would pass through the Python process's local zone
+    return F.lit(d).cast("timestamp_ntz")
 
 
 def local_date(ts: Column, tz: str = MARKET_TZ) -> Column:

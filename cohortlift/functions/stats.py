@@ -85,7 +85,7 @@ def pooled_t(mean1, sd1, n1, mean2, sd2, n2) -> tuple[Column, Column]:
     n1d, n2d = n1.cast("double"), n2.cast("double")
     df = n1d + n2d - F.lit(2.0)
     pooled_var = _safe_div((n1d - 1) * sd1 * sd1 + (n2d - 1) * sd2 * sd2, df)
-    se = F.sqrt(pooled_var * (F.lit(1.0) / n1d + F.lit(1.0) / n2d))
+    se = F.sqrt(pooled_var * (_safe_div(F.lit(1.0), n1d) + _safe_div(F.lit(1.0), n2d)))
     t = _safe_div(mean1 - mean2, se)
     return t, df
 

@@ -196,10 +196,11 @@ def table_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARA
     v = view_inputs(spark, sf_dir, params)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def put(name: str, df: DataFrame, cluster: str | None = None) -> DataFrame:
+    def put(name: str, df: DataFrame, cluster: tuple[str, ...] = ()) -> DataFrame:
         path = f"{root}/{name}"
         if cluster:
-            df = df.repartitionByRange(n, cluster).sortWithinPartitions(cluster)
+            # the viewer as second range key splits a day that holds a large share of rows
+            df = df.repartitionByRange(n, *cluster).sortWithinPartitions(*cluster)
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
@@ -208,8 +209,9 @@ def table_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARA
         audience_list=put("audience_list", v.audience_list),
         customer_keys=put("customer_keys", v.customer_keys),
         account_view=put("account_view", v.account_view),
-        silver_video=put("silver_video", v.silver_video, "adobe_date"),
-        daily_last_view_status=put("daily_last_view_status", v.daily_last_view_status, "report_date"),
+        silver_video=put("silver_video", v.silver_video, ("adobe_date", "adobe_tracking_id")),
+        daily_last_view_status=put("daily_last_view_status", v.daily_last_view_status,
+                                   ("report_date", "tracking_id")),
     )
     out._spark = spark
     _TABLES[key] = out

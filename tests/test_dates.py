@@ -59,3 +59,15 @@ def test_windows():
     assert p.window_days == 15 and p.window_end_exclusive == dt.date(2020, 12, 16)
     assert FIXTURE_PARAMS.tenure_threshold == dt.date(1996, 3, 27)
     assert FIXTURE_PARAMS.winback_signup_ceiling == dt.date(1996, 2, 29)
+
+
+def test_ntz_midnight_independent_of_session_zone(spark):
+    from cohortlift.functions.dates import ntz_midnight
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        v = _one(spark, ntz_midnight(dt.date(2020, 12, 1)).cast("string"))
+        assert v == "2020-12-01 00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
