@@ -19,7 +19,7 @@ import json
 from pyspark.sql import SparkSession
 
 from ..params import Params
-from ..session import apply_conf, shared_dir
+from ..session import apply_cluster_defaults, apply_conf, shared_dir
 from ..sources import csv as CSV
 from ..sources import schemas as S
 from ..sources.tables import read_inputs
@@ -69,6 +69,7 @@ def main(argv=None) -> None:
         kw[f.name] = {"Date": _date, "int": int, "int | None": int, "float": float,
                       "bool": lambda x: x.lower() in ("1", "true", "yes")}[f.type](v)
     spark = SparkSession.builder.appName("cohortlift").getOrCreate()
+    apply_cluster_defaults(spark)
     with open(a.inputs) as fh:
         locations = json.load(fh)
     for k, v in run(spark, locations, Params(**kw), a.out).items():

@@ -20,6 +20,30 @@ SESSION_CONF = {
 }
 
 
+# Sizing for a large cluster (applied by ``apply_cluster_defaults`` only where
+# the session sets nothing): partitions are sized in bytes, not counted, so
+# they stay within executor memory at any scale. AQE starts from many
+# shuffle partitions and coalesces them to ~256 MB; a partition over 5x the
+# median (and 512 MB) is split by the skew-join rule.
+CLUSTER_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> None:
+    """Set CLUSTER_DEFAULTS where the session has no explicit value."""
+    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for k, v in CLUSTER_DEFAULTS.items():
+        if k not in explicit:
+            spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "cohortlift",
                   extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
