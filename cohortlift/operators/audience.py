@@ -96,10 +96,12 @@ def holdout_users(
     per_id = ckm.groupBy("externalprofilerid").agg(F.count(F.lit(1)).alias("_k"))
     labels = holdouts.join(per_id, holdouts.identity_value == per_id.externalprofilerid).select(
         F.col("identity_value").alias("mparticleid"), "audiencecohort", "_k")
+    # with dedupe_audience the copies would be dropped downstream, so none are made
+    copies = F.lit(1) if params.dedupe_audience else F.col("_k")
     members = (
         ckm.join(labels, ckm.externalprofilerid == labels.mparticleid)
         .select("profileid", "mparticleid", "audiencecohort",
-                F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("_copy"))
+                F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
         .drop("_copy")
     )
     tenured = signup.filter(F.col("signup_date") < F.lit(threshold))

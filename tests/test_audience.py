@@ -59,6 +59,9 @@ def test_holdout_users_keeps_join_multiplicity(spark):
     assert got[(1, "mp1", "holdoutgroup_control", "aid1b", OLD)] == 4
     assert got[(2, "mp2", "holdoutgroup_paidsoc", None, OLD)] == 1
     assert sum(got.values()) == 9
+    # dedupe mode makes no copies: 2 mapping rows x 2 tracking ids, plus mp2
+    deduped = A.holdout_users(ckm, hold, sig, P.replace(dedupe_audience=True))
+    assert deduped.count() == 5 and deduped.distinct().count() == 3
 
 
 def test_targetables_and_braze_label(spark):
