@@ -7,8 +7,9 @@ equi-join whose per-key row count is bounded by the calendar (days in the
 report window), however many plays a single viewer has:
 
 * save: a lapse (viewer, start) is saved by a play 15..29 days after start;
-  the lapse is expanded into its (viewer, day) targets and semi-joined to the
-  distinct (viewer, play day) pairs;
+  each viewer's distinct starts (at most one per window day) are expanded
+  into (viewer, day) targets and semi-joined to the distinct (viewer, play
+  day) pairs;
 * winback: "some play >= some start + 30" is "latest play >= earliest start + 30",
   one row per viewer on each side.
 """
@@ -80,22 +81,35 @@ def _started_play_days(video: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
     ).select(F.col("adobe_tracking_id").alias("tracking_id"), F.col("adobe_date").alias("day"))
 
 
-def returning_save(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
-    """(adobe_tracking_id): viewers with a started play 15..29 days after a
-    lapse start that lies inside the save window."""
+def save_flags(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
+    """(tracking_id, back): every lapsing viewer once, back = 1 if saved, else NULL.
+
+    One aggregation of the lapse rows gives both the lapser set and each
+    lapser's distinct starts inside the save window (at most one per window
+    day, so the set is bounded by the calendar). Each start expands to its
+    return days (start + 15 .. start + 29), which are semi-joined on
+    (viewer, day) with the distinct started-play days: an equi-join with at
+    most (window days + 29) rows per viewer on either side.
+    """
     rs, re = params.save_report_start, params.save_report_end
     lo_gap, hi_gap = params.save_gap_min, params.save_gap_max
-    starts = lapsing.filter(F.col("most_recent_start").between(F.lit(rs), F.lit(re))).select(
-        "tracking_id", "most_recent_start").distinct()
-    targets = starts.select(
-        "tracking_id",
-        F.explode(F.sequence(F.date_add("most_recent_start", lo_gap),
-                             F.date_add("most_recent_start", hi_gap))).alias("day"),
+    mrs = F.col("most_recent_start")
+    per = lapsing.groupBy("tracking_id").agg(F.collect_set(F.when(mrs.between(F.lit(rs), F.lit(re)), mrs))
+                                              .alias("starts"))
+    targets = per.select("tracking_id", F.explode("starts").alias("s")).select(
+        "tracking_id", F.explode(F.sequence(F.date_add("s", lo_gap), F.date_add("s", hi_gap))).alias("day"),
     ).distinct()
     # the play-date bounds follow from the start bounds; stated so the scan prunes
     plays = _started_play_days(video, rs + lo_gap * _ONE_DAY, re + hi_gap * _ONE_DAY).distinct()
-    return targets.join(plays, ["tracking_id", "day"], "left_semi").select(
-        F.col("tracking_id").alias("adobe_tracking_id")).distinct()
+    savers = targets.join(plays, ["tracking_id", "day"], "left_semi").select("tracking_id").distinct()
+    return per.select("tracking_id").join(savers.withColumn("back", F.lit(1)), "tracking_id", "left")
+
+
+def returning_save(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
+    """(adobe_tracking_id): viewers with a started play 15..29 days after a
+    lapse start that lies inside the save window."""
+    return save_flags(video, lapsing, params).filter(F.col("back").isNotNull()).select(
+        F.col("tracking_id").alias("adobe_tracking_id"))
 
 
 def winback_flags(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
@@ -120,13 +134,6 @@ def returning_winback(video: DataFrame, lapsing: DataFrame, params: Params) -> D
         F.col("tracking_id").alias("adobe_tracking_id"))
 
 
-def _flags(lapsing: DataFrame, returning: DataFrame) -> DataFrame:
-    """(tracking_id, back) for every lapsing viewer, from a separate returning set."""
-    lapsers = lapsing.select("tracking_id").distinct()
-    ret = returning.select(F.col("adobe_tracking_id").alias("tracking_id"), F.lit(1).alias("back"))
-    return lapsers.join(ret, "tracking_id", "left")
-
-
 def _rate(classification: DataFrame, flagged: DataFrame, signup_ok: F.Column,
           denom: str, num: str, rate: str) -> DataFrame:
     """Per cohort x tenure: distinct lapsing viewers, distinct returning ones, ratio.
@@ -145,9 +152,10 @@ def _rate(classification: DataFrame, flagged: DataFrame, signup_ok: F.Column,
     )
 
 
-def save_rate(classification: DataFrame, lapsing: DataFrame, returning: DataFrame, params: Params) -> DataFrame:
+def save_rate(classification: DataFrame, lapsing: DataFrame, video: DataFrame, params: Params) -> DataFrame:
+    """Save rate; the saved viewers are derived from ``lapsing`` and the plays in one pass."""
     ok = F.col("signup_date") >= F.lit(params.save_signup_floor)
-    return _rate(classification, _flags(lapsing, returning), ok, "save_rate_denom", "saves", "save_rate")
+    return _rate(classification, save_flags(video, lapsing, params), ok, "save_rate_denom", "saves", "save_rate")
 
 
 def winback_rate(classification: DataFrame, lapsing: DataFrame, video: DataFrame, params: Params) -> DataFrame:

@@ -116,7 +116,7 @@ class Pipeline:
     @functools.cached_property
     def save_rate(self) -> DataFrame:
         return self._get("save_rate", lambda: LP.save_rate(
-            self.classification, self.lapsing_save, self.returning_save, self.p))
+            self.classification, self.lapsing_save, self.i.silver_video, self.p))
 
     @functools.cached_property
     def lapsing_winback(self) -> DataFrame:

@@ -104,7 +104,7 @@ def test_save_and_winback_match_literal_semantics(spark, seed):
                 num.add(v)
         return {k: (len(a), len(b)) for k, (a, b) in out.items()}
 
-    sr = LP.save_rate(aud, LP.lapsing_save(dlv_df, P), LP.returning_save(video, LP.lapsing_save(dlv_df, P), P), P)
+    sr = LP.save_rate(aud, LP.lapsing_save(dlv_df, P), video, P)
     got = {(r.audiencecohort, r.tenure_classification): (r.save_rate_denom, r.saves) for r in sr.collect()}
     assert got == brute_rate(lap, savers, lambda su: su >= P.save_signup_floor)
     wr = LP.winback_rate(aud, LP.lapsing_winback(dlv_df, P), video, P)
