@@ -84,25 +84,27 @@ def _started_play_days(video: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
 def save_flags(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
     """(tracking_id, back): every lapsing viewer once, back = 1 if saved, else NULL.
 
-    One aggregation of the lapse rows gives both the lapser set and each
-    lapser's distinct starts inside the save window (at most one per window
-    day, so the set is bounded by the calendar). Each start expands to its
-    return days (start + 15 .. start + 29), which are semi-joined on
-    (viewer, day) with the distinct started-play days: an equi-join with at
-    most (window days + 29) rows per viewer on either side.
+    One aggregation of the lapse rows gives each lapser's distinct starts
+    inside the save window (at most one per window day, so the set is bounded
+    by the calendar). Each start expands to its return days (start + 15 ..
+    start + 29); a lapser without such a start keeps one NULL day. The days
+    are left-joined on (viewer, day) to the distinct started-play days and
+    reduced per viewer: one pass over the lapse rows, equi-joins only, at most
+    (window days x 15) rows per viewer.
     """
     rs, re = params.save_report_start, params.save_report_end
     lo_gap, hi_gap = params.save_gap_min, params.save_gap_max
     mrs = F.col("most_recent_start")
     per = lapsing.groupBy("tracking_id").agg(F.collect_set(F.when(mrs.between(F.lit(rs), F.lit(re)), mrs))
                                               .alias("starts"))
-    targets = per.select("tracking_id", F.explode("starts").alias("s")).select(
-        "tracking_id", F.explode(F.sequence(F.date_add("s", lo_gap), F.date_add("s", hi_gap))).alias("day"),
-    ).distinct()
+    targets = per.select("tracking_id", F.explode_outer("starts").alias("s")).select(
+        "tracking_id",
+        F.explode_outer(F.sequence(F.date_add("s", lo_gap), F.date_add("s", hi_gap))).alias("day"),
+    )
     # the play-date bounds follow from the start bounds; stated so the scan prunes
     plays = _started_play_days(video, rs + lo_gap * _ONE_DAY, re + hi_gap * _ONE_DAY).distinct()
-    savers = targets.join(plays, ["tracking_id", "day"], "left_semi").select("tracking_id").distinct()
-    return per.select("tracking_id").join(savers.withColumn("back", F.lit(1)), "tracking_id", "left")
+    hit = targets.join(plays.withColumn("back", F.lit(1)), ["tracking_id", "day"], "left")
+    return hit.groupBy("tracking_id").agg(F.max("back").alias("back"))
 
 
 def returning_save(video: DataFrame, lapsing: DataFrame, params: Params) -> DataFrame:
