@@ -55,11 +55,20 @@ def read_source(spark: SparkSession, location: str, name: str) -> DataFrame:
     return S.conform(df, schema)
 
 
-def read_inputs(spark: SparkSession, locations: dict[str, str]):
-    """Build ``Inputs`` from {input name: location}."""
+def read_inputs(spark: SparkSession, locations: dict[str, str], params=None):
+    """Build ``Inputs`` from {input name: location}.
+
+    Without a ``daily_last_view_status`` location the status table is derived
+    from the plays by the ``daily_last_view`` operator over
+    [params.dlv_start, params.dlv_end].
+    """
+    from ..operators.lapse import daily_last_view
+    from ..params import Params
     from .fixtures import BACKFILL_RESIDUES, Inputs
 
     t = {name: read_source(spark, loc, name) for name, loc in locations.items()}
+    if "daily_last_view_status" not in t:
+        t["daily_last_view_status"] = daily_last_view(t["silver_video"], params or Params())
     return Inputs(
         backfills={b: t[b] for b in BACKFILL_RESIDUES},
         audience_list=t["audience_list"],

@@ -25,3 +25,22 @@ def test_run_end_to_end(spark, tmp_path):
     assert read_csv(spark, paths["WinbackRates"], S.WINBACK_RATES).count() == 14
     assert spark.read.parquet(paths["engagement_significance"]).count() == 9
     assert spark.read.parquet(paths["winback_significance"]).count() == 6
+
+
+def test_read_inputs_derives_status_and_lowercases(spark, tmp_path):
+    from cohortlift.sources.tables import read_inputs
+
+    v = view_inputs(spark, SMALL, FIXTURE_PARAMS)
+    path = str(tmp_path / "ckm")
+    v.customer_keys.toDF("ProfileID", "ExternalProfilerID", "PartnerOrSystemId").write.parquet(path)
+    vid = str(tmp_path / "video")
+    v.silver_video.write.parquet(vid)
+    locs = {"customer_keys": path, "silver_video": vid}
+    for name in ("all_media_holdout_backfill", "paid_social_holdout_backfill", "paid_display_holdout_backfill",
+                 "paid_braze_holdout_backfill", "audience_list", "account_view"):
+        p = str(tmp_path / name)
+        (v.backfills[name] if name in v.backfills else getattr(v, name)).write.parquet(p)
+        locs[name] = p
+    i = read_inputs(spark, locs, FIXTURE_PARAMS)
+    assert i.customer_keys.columns == ["profileid", "externalprofilerid", "partnerorsystemid"]
+    assert i.daily_last_view_status.count() == v.daily_last_view_status.count()
