@@ -35,3 +35,41 @@ def test_audience_size_counts_distinct_non_null(spark):
         "aid string, audiencecohort string, tenure_classification string")
     got = {(r.audiencecohort, r.tenure_classification): r.audience_size for r in audience_size(df).collect()}
     assert got == {("c", "T"): 2, ("c", None): 1}
+
+
+def test_random_dates_against_python_reference(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cohortlift.functions.dates import week_boundaries_between
+    from cohortlift.operators.tenure import tenure_bucket
+
+    def weeks(later, earlier):
+        # Sunday-started weeks: shift so that Sunday is day 0, count week starts crossed
+        start = lambda d: d - dt.timedelta(days=(d.weekday() + 1) % 7)
+        return (start(later) - start(earlier)).days // 7
+
+    def bucket(w):
+        if w == 1:
+            return "FIRST_WEEK"
+        if w == 2:
+            return "SECOND_WEEK"
+        if w in (3, 4):
+            return "THIRD_FOURTH_WEEK"
+        if 4 <= w < 8:
+            return "SECOND_MONTH"
+        if w >= 8:
+            return "THREE_PLUS_MONTHS"
+        return None
+
+    rnd = random.Random(7)
+    base = dt.date(2019, 1, 1)
+    pairs = [(base + dt.timedelta(days=rnd.randrange(900)), base + dt.timedelta(days=rnd.randrange(900)))
+             for _ in range(2000)]
+    df = spark.createDataFrame(pairs, "a date, b date")
+    w = week_boundaries_between(F.col("a"), F.col("b"))
+    got = df.select("a", "b", w.alias("w"), tenure_bucket(w).alias("t")).collect()
+    for r in got:
+        assert r.w == weeks(r.a, r.b), (r.a, r.b)
+        assert r.t == bucket(r.w)
