@@ -14,10 +14,6 @@ MARKET_TZ = "America/New_York"
 SUNDAY_EPOCH = dt.date(1970, 1, 4)
 
 
-def date_lit(d: dt.date) -> Column:
-    return F.lit(d)
-
-
 def ntz_midnight(d: dt.date) -> Column:
     """A DATE as a TIMESTAMP_NTZ literal (matches a DATETIME column in type,
     so the comparison is pushed down to the Parquet scan)."""

@@ -8,8 +8,8 @@ report window), however many plays a single viewer has:
 
 * save: a lapse (viewer, start) is saved by a play 15..29 days after start;
   each viewer's distinct starts (at most one per window day) are expanded
-  into (viewer, day) targets and semi-joined to the distinct (viewer, play
-  day) pairs;
+  into (viewer, day) targets, equi-joined to the distinct (viewer, play day)
+  pairs and reduced per viewer;
 * winback: "some play >= some start + 30" is "latest play >= earliest start + 30",
   one row per viewer on each side.
 """

@@ -1,9 +1,17 @@
 """``queries()``: one entry per operator, each run over the driver's tables.
 
-Every callable takes (spark, sf_dir), builds the fixture inputs from the
-driver's parquet tables (``sources.fixtures``) and returns the operator's
-result. Doubles are rounded to 6 decimals at the outermost projection (the
-oracle does the same), since floating sums differ in order between engines.
+Every callable takes (spark, sf_dir) and returns the operator's result over
+the driver's parquet tables at ``sf_dir``:
+
+* the reference's input tables are derived from the driver's tables
+  (``sources.fixtures``) and written once per session to the shared folder;
+* the audience steps are then written in the reference's order, like its
+  CREATE TABLE statements (``Pipeline.materialise``); a key computes its own
+  step from the tables upstream of it, and analysis keys read the
+  classification table, as the reference's analysis scripts do.
+
+Doubles are rounded to 6 decimals at the outermost projection (the oracle
+does the same), since floating sums differ in order between engines.
 """
 
 from __future__ import annotations

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cohortlift.operators import report as R
 from cohortlift.operators import significance as SG
