@@ -41,7 +41,28 @@ def round_doubles(df: DataFrame, digits: int = ROUND) -> DataFrame:
     return df.select(*cols)
 
 
-_STAGED: dict[tuple, Pipeline] = {}
+class _Stages:
+    """The audience steps of one (session, directory, parameters), written on
+    demand in the reference's order: asking for step i writes steps 0..i-1
+    (those not yet written), each computed from the ones before it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params):
+        self.spark = spark
+        self.lazy = Pipeline(load_inputs(spark, sf_dir, params), params)
+        self.root = f"{shared_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
+        self.tables: dict[str, DataFrame] = {}
+
+    def upto(self, n: int) -> dict[str, DataFrame]:
+        for name in Pipeline.STAGES[:n]:
+            if name not in self.tables:
+                df = getattr(self.lazy.with_tables(self.tables), name)
+                path = f"{self.root}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self.tables[name] = self.spark.read.parquet(path)
+        return {k: self.tables[k] for k in Pipeline.STAGES[:n]}
+
+
+_STAGES: dict[tuple, _Stages] = {}
 
 
 def _audience_params(params: Params) -> Params:
@@ -49,18 +70,16 @@ def _audience_params(params: Params) -> Params:
     return params.replace(analysis_window_days=None)
 
 
-def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Pipeline:
-    """The audience steps written once per session (and parameters), in the
-    reference's order, to the shared folder; later calls read them."""
+def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Pipeline:
+    """A Pipeline reading the audience steps before ``step`` (all of them if
+    ``step`` is not one) from tables written once per session."""
     apply_conf(spark)
     key = (id(spark), sf_dir, _audience_params(params))
-    p = _STAGED.get(key)
-    if p is None or p.spark is not spark:
-        lazy = Pipeline(load_inputs(spark, sf_dir, params), _audience_params(params))
-        root = f"{shared_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
-        p = _STAGED[key] = lazy.materialise(spark, root)
-        p.spark = spark
-    return p
+    st = _STAGES.get(key)
+    if st is None or st.spark is not spark:
+        st = _STAGES[key] = _Stages(spark, sf_dir, _audience_params(params))
+    n = Pipeline.STAGES.index(step) if step in Pipeline.STAGES else len(Pipeline.STAGES)
+    return Pipeline(st.lazy.i, params).with_tables(st.upto(n))
 
 
 _PIPELINES: dict[tuple, Pipeline] = {}
@@ -78,12 +97,7 @@ def pipeline(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS,
     key = (id(spark), sf_dir, params, step)
     p = _PIPELINES.get(key)
     if p is None or p.spark is not spark:
-        st = staged(spark, sf_dir, params)
-        tables = dict(st._overrides)
-        if step in Pipeline.STAGES:
-            for name in Pipeline.STAGES[Pipeline.STAGES.index(step):]:
-                tables.pop(name)
-        p = Pipeline(st.i, params).with_tables(tables)
+        p = staged(spark, sf_dir, params, step)
         p.spark = spark
         _PIPELINES[key] = p
     return p
