@@ -1,6 +1,6 @@
 """The analysis as one composed plan.
 
-``Pipeline`` wires the operators in the reference's run order (audience ->
+``Analysis`` wires the operators in the reference's run order (audience ->
 tenure -> KPIs / save / winback -> labelled reports -> tests). Each step is a
 lazily built DataFrame, memoised so that a step used by several outputs is
 one node of the plan (Spark then reuses its shuffle exchanges).
@@ -28,7 +28,7 @@ from ..params import Params
 from ..sources.fixtures import Inputs
 
 
-class Pipeline:
+class Analysis:
     def __init__(self, inputs: Inputs, params: Params):
         self.i = inputs
         self.p = params
@@ -170,15 +170,15 @@ class Pipeline:
     STAGES = ("holdout_groups", "household_signup", "holdout_users", "targetable_master", "targetable_users",
               "all_audience", "audience_signup", "classification")
 
-    def with_tables(self, tables: dict[str, DataFrame]) -> "Pipeline":
-        """A Pipeline that reads the given steps from ``tables`` instead of computing them."""
-        out = Pipeline(self.i, self.p)
+    def with_tables(self, tables: dict[str, DataFrame]) -> "Analysis":
+        """A Analysis that reads the given steps from ``tables`` instead of computing them."""
+        out = Analysis(self.i, self.p)
         out._overrides = dict(tables)
         return out
 
-    def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Pipeline":
+    def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Analysis":
         """Write each step of ``stages`` under ``root`` in order, every step
-        computed from the already written ones, and return a Pipeline that
+        computed from the already written ones, and return a Analysis that
         reads them.
 
         ``root`` must be shared storage (``session.shared_dir``): the written

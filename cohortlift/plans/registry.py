@@ -6,7 +6,7 @@ the driver's parquet tables at ``sf_dir``:
 * the reference's input tables are derived from the driver's tables
   (``sources.fixtures``) and written once per session to the shared folder;
 * the audience steps are then written in the reference's order, like its
-  CREATE TABLE statements (``Pipeline.materialise``); a key computes its own
+  CREATE TABLE statements (``Analysis.materialise``); a key computes its own
   step from the tables upstream of it, and analysis keys read the
   classification table, as the reference's analysis scripts do.
 
@@ -28,7 +28,7 @@ from ..session import apply_conf, shared_dir
 from ..sources import csv as CSV
 from ..sources import schemas as S
 from ..sources.fixtures import load_inputs
-from .pipeline import Pipeline
+from .analysis import Analysis
 
 ROUND = 6
 
@@ -48,18 +48,18 @@ class _Stages:
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params):
         self.spark = spark
-        self.lazy = Pipeline(load_inputs(spark, sf_dir, params), params)
+        self.lazy = Analysis(load_inputs(spark, sf_dir, params), params)
         self.root = f"{shared_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
         self.tables: dict[str, DataFrame] = {}
 
     def upto(self, n: int) -> dict[str, DataFrame]:
-        for name in Pipeline.STAGES[:n]:
+        for name in Analysis.STAGES[:n]:
             if name not in self.tables:
                 df = getattr(self.lazy.with_tables(self.tables), name)
                 path = f"{self.root}/{name}"
                 df.write.mode("overwrite").parquet(path)
                 self.tables[name] = self.spark.read.parquet(path)
-        return {k: self.tables[k] for k in Pipeline.STAGES[:n]}
+        return {k: self.tables[k] for k in Analysis.STAGES[:n]}
 
 
 _STAGES: dict[tuple, _Stages] = {}
@@ -70,42 +70,42 @@ def _audience_params(params: Params) -> Params:
     return params.replace(analysis_window_days=None)
 
 
-def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Pipeline:
-    """A Pipeline reading the audience steps before ``step`` (all of them if
+def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Analysis:
+    """A Analysis reading the audience steps before ``step`` (all of them if
     ``step`` is not one) from tables written once per session."""
     apply_conf(spark)
     key = (id(spark), sf_dir, _audience_params(params))
     st = _STAGES.get(key)
     if st is None or st.spark is not spark:
         st = _STAGES[key] = _Stages(spark, sf_dir, _audience_params(params))
-    n = Pipeline.STAGES.index(step) if step in Pipeline.STAGES else len(Pipeline.STAGES)
-    return Pipeline(st.lazy.i, params).with_tables(st.upto(n))
+    n = Analysis.STAGES.index(step) if step in Analysis.STAGES else len(Analysis.STAGES)
+    return Analysis(st.lazy.i, params).with_tables(st.upto(n))
 
 
-_PIPELINES: dict[tuple, Pipeline] = {}
+_ANALYSES: dict[tuple, Analysis] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Pipeline:
+def analysis(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Analysis:
     """The plan for one query: upstream audience steps are read from their
     written tables; ``step`` itself (if it is one of them) and everything
     after it are computed.
 
-    Memoised per (session, directory, params, step): a Pipeline holds only
+    Memoised per (session, directory, params, step): a Analysis holds only
     lazy plans, so reuse skips driver-side plan construction while every
     action still reads and computes anew.
     """
     key = (id(spark), sf_dir, params, step)
-    p = _PIPELINES.get(key)
+    p = _ANALYSES.get(key)
     if p is None or p.spark is not spark:
         p = staged(spark, sf_dir, params, step)
         p.spark = spark
-        _PIPELINES[key] = p
+        _ANALYSES[key] = p
     return p
 
 
-def _q(build: Callable[[Pipeline], DataFrame], params: Params = FIXTURE_PARAMS, step: str | None = None):
+def _q(build: Callable[[Analysis], DataFrame], params: Params = FIXTURE_PARAMS, step: str | None = None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = pipeline(spark, sf_dir, params, step)
+        p = analysis(spark, sf_dir, params, step)
         cache = p.__dict__.setdefault("_query_results", {})
         if build not in cache:
             cache[build] = round_doubles(build(p))
@@ -116,7 +116,7 @@ def _q(build: Callable[[Pipeline], DataFrame], params: Params = FIXTURE_PARAMS,
 
 def _csv_roundtrip(attr: str, schema: T.StructType):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = pipeline(spark, sf_dir, FIXTURE_PARAMS, f"csv:{attr}")
+        p = analysis(spark, sf_dir, FIXTURE_PARAMS, f"csv:{attr}")
         path = f"{shared_dir(spark).rstrip('/')}/csv/{attr}-{uuid.uuid4().hex}"
         CSV.write_csv(S.conform(getattr(p, attr), schema), path)
         return round_doubles(CSV.read_csv(spark, path, schema))

@@ -23,7 +23,7 @@ from ..session import apply_cluster_defaults, apply_conf, shared_dir
 from ..sources import csv as CSV
 from ..sources import schemas as S
 from ..sources.tables import read_inputs
-from .pipeline import Pipeline
+from .analysis import Analysis
 
 RESULTS = ("kpi_report", "save_report", "winback_report")
 TESTS = ("engagement_significance", "conversion_significance", "save_significance", "winback_significance")
@@ -33,7 +33,7 @@ def run(spark: SparkSession, locations: dict[str, str], params: Params, out: str
     """Run everything; returns {result name: path}."""
     apply_conf(spark)
     out = (out or f"{shared_dir(spark).rstrip('/')}/run-{params.as_of.isoformat()}").rstrip("/")
-    p = Pipeline(read_inputs(spark, locations, params), params).materialise(spark, f"{out}/tables")
+    p = Analysis(read_inputs(spark, locations, params), params).materialise(spark, f"{out}/tables")
     paths = {}
     for name, schema in (("GeneralMetrics", S.GENERAL_METRICS), ("SaveRates", S.SAVE_RATES),
                          ("WinbackRates", S.WINBACK_RATES)):

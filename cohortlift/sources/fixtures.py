@@ -41,7 +41,7 @@ BACKFILL_RESIDUES = {
 
 
 class Inputs:
-    """The pipeline's input tables, as DataFrames.
+    """The analysis's input tables, as DataFrames.
 
     Each table is given either as a DataFrame or as a zero-argument builder,
     which is called on first use; a query then only plans the inputs it reads.

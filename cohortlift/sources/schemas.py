@@ -1,4 +1,4 @@
-"""Explicit schemas of the pipeline's input tables (only the columns used).
+"""Explicit schemas of the analysis's input tables (only the columns used).
 
 Column names are lower-case versions of the reference's warehouse columns.
 """

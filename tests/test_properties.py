@@ -1,9 +1,9 @@
-"""Invariants of the whole pipeline on the driver's tables."""
+"""Invariants of the whole analysis on the driver's tables."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlift.plans.registry import pipeline
+from cohortlift.plans.registry import analysis
 from conftest import SMALL
 
 J = ["audiencecohort", "tenure_classification"]
@@ -11,7 +11,7 @@ J = ["audiencecohort", "tenure_classification"]
 
 @pytest.fixture(scope="module")
 def p(spark):
-    return pipeline(spark, SMALL)
+    return analysis(spark, SMALL)
 
 
 def test_targetable_disjoint_from_its_holdouts(p):
@@ -39,7 +39,7 @@ def test_starts_add_up(p):
     assert kpi == plays.count()
 
 
-def test_materialised_pipeline_equals_lazy(spark, p, tmp_path):
+def test_materialised_analysis_equals_lazy(spark, p, tmp_path):
     m = p.materialise(spark, str(tmp_path / "tables"))
     def rows(df):  # floating sums may differ in the last bits with another order
         return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
