@@ -17,6 +17,8 @@ SESSION_CONF = {
     # Spark's own size check for broadcasting (measured at runtime by AQE);
     # no operator forces a broadcast hint.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # the same bound for AQE's re-planning, which measures the shuffled side
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 
