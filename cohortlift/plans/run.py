@@ -57,6 +57,8 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--inputs", required=True, help="JSON file: input name -> table or path")
     ap.add_argument("--out", default=None, help="output folder on shared storage")
+    ap.add_argument("--custom-window-end", default=None,
+                    help="KPI window end + 1 day (the checklist's override of analysis_window)")
     for f in dataclasses.fields(Params):
         if f.type in ("Date", "int", "float", "bool", "int | None"):
             ap.add_argument("--" + f.name.replace("_", "-"), default=None)
@@ -72,7 +74,10 @@ def main(argv=None) -> None:
     apply_cluster_defaults(spark)
     with open(a.inputs) as fh:
         locations = json.load(fh)
-    for k, v in run(spark, locations, Params(**kw), a.out).items():
+    params = Params(**kw)
+    if a.custom_window_end:
+        params = params.with_custom_window_end(_date(a.custom_window_end))
+    for k, v in run(spark, locations, params, a.out).items():
         print(f"{k}\t{v}")
 
 

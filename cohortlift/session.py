@@ -30,6 +30,9 @@ SESSION_CONF = {
 CLUSTER_DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    # coalesce to the advisory size (the default favours parallelism and
+    # ignores it, which leaves many tiny partitions on a large cluster)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
