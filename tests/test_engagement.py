@@ -55,3 +55,33 @@ def test_single_viewer_group_has_null_stddev(spark):
     k = E.cohort_kpis(E.viewer_stats(plays, aud, P)).first()
     assert k.tenure_classification is None  # the NULL group is kept
     assert k.repertoire_stddev is None and k.usage_stdv is None
+
+
+def test_hot_viewer_totals_match_row_level_join(spark):
+    """A viewer with a third of all plays: per-viewer pre-aggregation equals the row-level join."""
+    import random
+
+    rnd = random.Random(3)
+    t0 = dt.datetime(2020, 12, 1)
+    rows = []
+    for i in range(300):
+        aid = "hot" if i % 3 == 0 else f"v{rnd.randrange(20)}"
+        ts = t0 + dt.timedelta(hours=rnd.randrange(31 * 24))
+        rows.append(_play(aid, ts, rnd.choice(["LONG", "vod_shortform", None]), f"p{rnd.randrange(8)}",
+                          completed=rnd.randrange(2), secs=float(rnd.randrange(100, 5000))))
+    plays = spark.createDataFrame(rows, V)
+    aud_rows = [("hot", 1, "holdoutgroup_control", None, "FIRST_WEEK"),
+                ("hot", 1, "holdoutgroup_control", None, "FIRST_WEEK")]
+    aud_rows += [(f"v{i}", 10 + i, "targetablegroup_control", None, "FIRST_WEEK") for i in range(20)]
+    aud = spark.createDataFrame(aud_rows, C)
+    got = {r.aid: (r.distinct_titles, r.content_starts, r.content_completed, round(r.total_hours, 9))
+           for r in E.viewer_stats(plays, aud, P).collect()}
+    exp = {}
+    for a, _, coh, _, ten in aud_rows:
+        mine = [r for r in rows if r[0] == a]
+        titles = {("shortform" if r[3] and "shortform" in r[3].lower() else r[4]) for r in mine}
+        prev = exp.get(a, (len(titles), 0, 0, 0.0))
+        exp[a] = (len(titles), prev[1] + len(mine), prev[2] + sum(r[6] for r in mine),
+                  prev[3] + sum(r[7] for r in mine) / 3600)
+    exp = {a: (v[0], v[1], v[2], round(v[3], 9)) for a, v in exp.items() if v[1] > 0}
+    assert got == exp

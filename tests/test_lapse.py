@@ -126,3 +126,23 @@ def test_return_day_edges(spark, after, saved):
     d = s + dt.timedelta(days=after)
     video = spark.createDataFrame([("v", dt.datetime(d.year, d.month, d.day), d, "X", "p", 1, 0, 1.0)], V)
     assert (LP.returning_save(video, lap, P).count() == 1) is saved
+
+
+def test_hot_viewer_with_a_third_of_all_plays(spark):
+    """One viewer holds a third of the plays: results still equal the literal semantics."""
+    rnd = random.Random(11)
+    plays = _plays(12, viewers=10, n=200)
+    for _ in range(100):  # the hot viewer: 100 of 300 rows
+        d = D(2020, 8, 1) + dt.timedelta(days=rnd.randrange(200))
+        plays.append(("hot", dt.datetime(d.year, d.month, d.day, 9), d, "X", "p", 1, 0, 60.0))
+    video = spark.createDataFrame(plays, V)
+    dlv = brute_dlv(plays, P.dlv_start, P.dlv_end)
+    assert {tuple(r) for r in LP.daily_last_view(video, P).collect()} == dlv
+    dlv_df = spark.createDataFrame(sorted(dlv), DLV)
+    started = [(p[0], p[2]) for p in plays if p[5] == 1]
+    lap = brute_lapsing(dlv, 15, 29, P.save_report_start, P.save_report_end, P.launch_date)
+    savers = {v for v, d in started for (_, t, s) in lap
+              if v == t and P.save_report_start <= s <= P.save_report_end
+              and s + dt.timedelta(days=15) <= d <= s + dt.timedelta(days=29)}
+    got = {r.adobe_tracking_id for r in LP.returning_save(video, LP.lapsing_save(dlv_df, P), P).collect()}
+    assert got == savers
