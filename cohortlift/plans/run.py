@@ -30,22 +30,33 @@ TESTS = ("engagement_significance", "conversion_significance", "save_significanc
 
 
 def run(spark: SparkSession, locations: dict[str, str], params: Params, out: str | None = None) -> dict[str, str]:
-    """Run everything; returns {result name: path}."""
+    """Run everything; returns {result name: path}.
+
+    The three rate tables are computed once each (the play table is scanned
+    for them only), written, and everything after them (CSV hand-off,
+    labelled reports, significance tests) reads the written copies, as the
+    reference's notebook reads its exported CSVs.
+    """
     apply_conf(spark)
     out = (out or f"{shared_dir(spark).rstrip('/')}/run-{params.as_of.isoformat()}").rstrip("/")
     p = Analysis(read_inputs(spark, locations, params), params).materialise(spark, f"{out}/tables")
+    rates = {}
     paths = {}
-    for name, schema in (("GeneralMetrics", S.GENERAL_METRICS), ("SaveRates", S.SAVE_RATES),
-                         ("WinbackRates", S.WINBACK_RATES)):
-        attr = {"GeneralMetrics": "cohort_kpis", "SaveRates": "save_rate", "WinbackRates": "winback_rate"}[name]
-        paths[name] = f"{out}/csv/{name}"
-        CSV.write_csv(S.conform(getattr(p, attr), schema), paths[name])
+    for csv_name, attr, schema in (("GeneralMetrics", "cohort_kpis", S.GENERAL_METRICS),
+                                   ("SaveRates", "save_rate", S.SAVE_RATES),
+                                   ("WinbackRates", "winback_rate", S.WINBACK_RATES)):
+        path = f"{out}/tables/{attr}"
+        S.conform(getattr(p, attr), schema).write.mode("overwrite").parquet(path)
+        rates[attr] = spark.read.parquet(path)
+        paths[csv_name] = f"{out}/csv/{csv_name}"
+        CSV.write_csv(rates[attr], paths[csv_name])
+    done = p.with_tables({**p._overrides, **rates})
     for name in RESULTS:
         paths[name] = f"{out}/results/{name}"
-        getattr(p, name).write.mode("overwrite").parquet(paths[name])
+        getattr(done, name).write.mode("overwrite").parquet(paths[name])
     for name in TESTS:
         paths[name] = f"{out}/results/{name}"
-        getattr(p, name)().write.mode("overwrite").parquet(paths[name])
+        getattr(done, name)().write.mode("overwrite").parquet(paths[name])
     return paths
 
 
