@@ -8,7 +8,9 @@ the driver's parquet tables at ``sf_dir``:
 * the audience steps are then written in the reference's order, like its
   CREATE TABLE statements (``Analysis.materialise``); a key computes its own
   step from the tables upstream of it, and analysis keys read the
-  classification table, as the reference's analysis scripts do.
+  classification table, as the reference's analysis scripts do;
+* the notebook's keys (labelled reports, significance tests) read the three
+  written rate tables, as the notebook reads the exported CSVs.
 
 Doubles are rounded to 6 decimals at the outermost projection (the oracle
 does the same), since floating sums differ in order between engines.
@@ -52,17 +54,31 @@ class _Stages:
         self.root = f"{shared_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
         self.tables: dict[str, DataFrame] = {}
 
+    def _write(self, name: str, base: dict[str, DataFrame]) -> None:
+        if name not in self.tables:
+            df = getattr(self.lazy.with_tables(base), name)
+            path = f"{self.root}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            self.tables[name] = self.spark.read.parquet(path)
+
     def upto(self, n: int) -> dict[str, DataFrame]:
         for name in Analysis.STAGES[:n]:
-            if name not in self.tables:
-                df = getattr(self.lazy.with_tables(self.tables), name)
-                path = f"{self.root}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                self.tables[name] = self.spark.read.parquet(path)
+            self._write(name, self.tables)
         return {k: self.tables[k] for k in Analysis.STAGES[:n]}
 
+    def rates(self) -> dict[str, DataFrame]:
+        """The audience steps plus the three exported rate tables, which the
+        reference's notebook (reports and tests) reads."""
+        audience = self.upto(len(Analysis.STAGES))
+        for name in RATE_TABLES:
+            self._write(name, audience)
+        return {**audience, **{k: self.tables[k] for k in RATE_TABLES}}
+
 
 _STAGES: dict[tuple, _Stages] = {}
+# result tables handed from the SQL scripts to the notebook (as CSV in the reference)
+RATE_TABLES = ("cohort_kpis", "save_rate", "winback_rate")
+NOTEBOOK = "notebook"  # step marker: reads the audience steps and the rate tables
 
 
 def _audience_params(params: Params) -> Params:
@@ -74,10 +90,14 @@ def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, st
     """A Analysis reading the audience steps before ``step`` (all of them if
     ``step`` is not one) from tables written once per session."""
     apply_conf(spark)
-    key = (id(spark), sf_dir, _audience_params(params))
+    # the rate tables depend on every parameter, the audience steps not on the window
+    sp = params if step == NOTEBOOK else _audience_params(params)
+    key = (id(spark), sf_dir, sp)
     st = _STAGES.get(key)
     if st is None or st.spark is not spark:
-        st = _STAGES[key] = _Stages(spark, sf_dir, _audience_params(params))
+        st = _STAGES[key] = _Stages(spark, sf_dir, sp)
+    if step == NOTEBOOK:
+        return Analysis(st.lazy.i, params).with_tables(st.rates())
     n = Analysis.STAGES.index(step) if step in Analysis.STAGES else len(Analysis.STAGES)
     return Analysis(st.lazy.i, params).with_tables(st.upto(n))
 
@@ -154,15 +174,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lapsing_winback": _q(lambda p: p.lapsing_winback),
     "returning_winback": _q(lambda p: p.returning_winback),
     "winback_rate": _q(lambda p: p.winback_rate),
-    "kpi_report": _q(lambda p: p.kpi_report),
-    "save_report": _q(lambda p: p.save_report),
-    "winback_report": _q(lambda p: p.winback_report),
-    "repertoire_significance": _q(lambda p: p.repertoire_significance()),
-    "usage_significance": _q(lambda p: p.usage_significance()),
-    "engagement_significance": _q(lambda p: p.engagement_significance()),
-    "conversion_significance": _q(lambda p: p.conversion_significance()),
-    "save_significance": _q(lambda p: p.save_significance()),
-    "winback_significance": _q(lambda p: p.winback_significance()),
+    "kpi_report": _q(lambda p: p.kpi_report, step=NOTEBOOK),
+    "save_report": _q(lambda p: p.save_report, step=NOTEBOOK),
+    "winback_report": _q(lambda p: p.winback_report, step=NOTEBOOK),
+    "repertoire_significance": _q(lambda p: p.repertoire_significance(), step=NOTEBOOK),
+    "usage_significance": _q(lambda p: p.usage_significance(), step=NOTEBOOK),
+    "engagement_significance": _q(lambda p: p.engagement_significance(), step=NOTEBOOK),
+    "conversion_significance": _q(lambda p: p.conversion_significance(), step=NOTEBOOK),
+    "save_significance": _q(lambda p: p.save_significance(), step=NOTEBOOK),
+    "winback_significance": _q(lambda p: p.winback_significance(), step=NOTEBOOK),
     "csv_roundtrip_general": _csv_roundtrip("cohort_kpis", S.GENERAL_METRICS),
     "csv_roundtrip_save": _csv_roundtrip("save_rate", S.SAVE_RATES),
     "csv_roundtrip_winback": _csv_roundtrip("winback_rate", S.WINBACK_RATES),
