@@ -108,3 +108,40 @@ def test_flag_threshold(spark):
     r = _eval(spark, [ST.significance_flag(F.lit(0.05)), ST.significance_flag(F.lit(0.0499)),
                       ST.significance_flag(F.lit(0.9))])
     assert tuple(r) == ("No", "Yes", "No")
+
+
+def test_random_tests_against_references(spark):
+    """Hundreds of random two-sample inputs in one query, against Python references."""
+    import random
+
+    rnd = random.Random(5)
+    zrows = []
+    for _ in range(400):
+        n1, n2 = rnd.randrange(1, 5000), rnd.randrange(1, 5000)
+        zrows.append((rnd.randrange(0, n1 + 1), n1, rnd.randrange(0, n2 + 1), n2))
+    df = spark.createDataFrame(zrows, "x1 long, n1 long, x2 long, n2 long")
+    z = ST.pooled_z(F.col("x1"), F.col("n1"), F.col("x2"), F.col("n2"))
+    zr = ST.pooled_z(F.col("x2"), F.col("n2"), F.col("x1"), F.col("n1"))
+    got = df.select("x1", "n1", "x2", "n2", z.alias("z"), zr.alias("zr"),
+                    ST.normal_two_sided_p(z).alias("p")).collect()
+    for r in got:
+        p = (r.x1 + r.x2) / (r.n1 + r.n2)
+        var = p * (1 - p) * (1 / r.n1 + 1 / r.n2)
+        if var == 0:
+            assert r.z is None and r.p is None
+            continue
+        ez = (r.x1 / r.n1 - r.x2 / r.n2) / math.sqrt(var)
+        assert r.z == pytest.approx(ez, rel=1e-9, abs=1e-12) and r.zr == pytest.approx(-ez, rel=1e-9, abs=1e-12)
+        assert r.p == pytest.approx(math.erfc(abs(ez) / math.sqrt(2)), abs=1e-9)
+
+    trows = []
+    for _ in range(300):
+        trows.append((rnd.uniform(0, 10), rnd.uniform(0.1, 5), rnd.randrange(2, 3000),
+                      rnd.uniform(0, 10), rnd.uniform(0.1, 5), rnd.randrange(2, 3000)))
+    df = spark.createDataFrame(trows, "m1 double, s1 double, n1 long, m2 double, s2 double, n2 long")
+    t, dfree = ST.pooled_t(*[F.col(c) for c in ("m1", "s1", "n1", "m2", "s2", "n2")])
+    got = df.select(t.alias("t"), dfree.alias("df")).select(
+        "t", "df", ST.t_two_sided_p(F.col("t"), F.col("df")).alias("p")).collect()
+    for r in got:
+        assert 0.0 <= r.p <= 1.0
+        assert r.p == pytest.approx(ref_t_p(r.t, r.df), abs=1e-8)
