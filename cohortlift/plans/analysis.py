@@ -171,14 +171,14 @@ class Analysis:
               "all_audience", "audience_signup", "classification")
 
     def with_tables(self, tables: dict[str, DataFrame]) -> "Analysis":
-        """A Analysis that reads the given steps from ``tables`` instead of computing them."""
+        """An Analysis that reads the given steps from ``tables`` instead of computing them."""
         out = Analysis(self.i, self.p)
         out._overrides = dict(tables)
         return out
 
     def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Analysis":
         """Write each step of ``stages`` under ``root`` in order, every step
-        computed from the already written ones, and return a Analysis that
+        computed from the already written ones, and return an Analysis that
         reads them.
 
         ``root`` must be shared storage (``session.shared_dir``): the written

@@ -87,7 +87,7 @@ def _audience_params(params: Params) -> Params:
 
 
 def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Analysis:
-    """A Analysis reading the audience steps before ``step`` (all of them if
+    """An Analysis reading the audience steps before ``step`` (all of them if
     ``step`` is not one) from tables written once per session."""
     apply_conf(spark)
     # the rate tables depend on every parameter, the audience steps not on the window
@@ -110,7 +110,7 @@ def analysis(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS,
     written tables; ``step`` itself (if it is one of them) and everything
     after it are computed.
 
-    Memoised per (session, directory, params, step): a Analysis holds only
+    Memoised per (session, directory, params, step): an Analysis holds only
     lazy plans, so reuse skips driver-side plan construction while every
     action still reads and computes anew.
     """
