@@ -116,3 +116,18 @@ def test_tenure_requirement(spark, threshold_days, expected):
     hold = _holdouts(spark, [("mp1", "holdoutgroup_control"), ("mp2", "holdoutgroup_control")])
     sig = _signup(spark, [(1, OLD), (2, NEW)])
     assert A.holdout_users(ckm, hold, sig, P.replace(tenure_days=threshold_days)).count() == expected
+
+
+def test_hot_external_id_fan_out(spark):
+    """One external id on 40 mapping rows of 40 profiles, held out under two labels."""
+    k = 40
+    rows = [(p, "mpHOT", "mparticle") for p in range(k)] + [(p, f"aid{p}", "trackingid") for p in range(k)]
+    ckm = _ckm(spark, rows)
+    hold = _holdouts(spark, [("mpHOT", "holdoutgroup_control"), ("mpHOT", "holdoutgroup_paiddis")])
+    sig = _signup(spark, [(p, OLD) for p in range(k)])
+    got = Counter((r.profileid, r.audiencecohort) for r in A.holdout_users(ckm, hold, sig, P).collect())
+    # the reference's self-join: each of the k mapping rows meets all k rows of the id, per label
+    assert sum(got.values()) == k * k * 2
+    assert set(got.values()) == {k}
+    deduped = A.holdout_users(ckm, hold, sig, P.replace(dedupe_audience=True))
+    assert deduped.count() == k * 2 and deduped.distinct().count() == k * 2
