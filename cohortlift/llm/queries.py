@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing
-from .common import written
+from . import chat, decontam, embed_dedup, licenses, line_dedup, ngram_join, packing, pii, quality, suffix
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,9 +37,59 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", F.col("piece").cast("int"), "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats_digest(_read(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_read(spark, sf_dir, "documents")))
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_read(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).select(
+        "doc_id", "host", "path", "evidence", "site_probability", "probability", "kept"
+    )
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in the directory source/lang."""
+    return licenses.scan(_read(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_pii": op4_pii,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_jaccard_join": ngram_join.join_sql(),
+    "op6_line_dedup": line_dedup.dedup_sql(),
+    "op9_license_scan": licenses.scan_sql("concat_ws('/', source, lang)"),
+    "op10_benchmark_decontamination": decontam.overlaps_sql(),
+}
