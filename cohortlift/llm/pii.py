@@ -245,9 +245,13 @@ def digest(found: DataFrame) -> DataFrame:
         F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ","
     )
     base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(KINDS)],
+        *[count(k).alias(f"n_{n}") for k, n in enumerate(KINDS)],
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"),
     )
