@@ -26,12 +26,8 @@ BACKFILL_LABELS = {
 MPARTICLE_IDENTITY_TYPE = "other_5"
 TRACKING_PARTNER = "trackingid"
 
-# Holdout labels each targetable campaign must not overlap with.
-TARGETABLE_EXCLUSIONS = {
-    "control": (L.holdout("control"), L.holdout("paidsoc"), L.holdout("paiddis"), L.BRAZE_EXCLUSION_LABEL),
-    "paidsoc": (L.holdout("control"), L.holdout("paidsoc")),
-    "paiddis": (L.holdout("control"), L.holdout("paiddis")),
-}
+# How many equal rows of the reference's tables a row stands for.
+COPIES = "copies"
 
 
 def _braze_label(params: Params) -> str:
@@ -39,6 +35,27 @@ def _braze_label(params: Params) -> str:
     return L.BRAZE_LABEL if params.exclude_braze else L.BRAZE_EXCLUSION_LABEL
 
 
+def targetable_exclusions(params: Params) -> dict[str, tuple[str, ...]]:
+    """Holdout labels each targetable campaign must not overlap with."""
+    control, social, display = (L.holdout(c) for c in ("control", "paidsoc", "paiddis"))
+    return {
+        "control": (control, social, display, _braze_label(params)),
+        "paidsoc": (control, social),
+        "paiddis": (control, display),
+    }
+
+
+def copies(df: DataFrame) -> F.Column:
+    """The rows' multiplicity, 1 where the table does not carry it."""
+    return F.col(COPIES) if COPIES in df.columns else F.lit(1).cast("long")
+
+
+def expanded(df: DataFrame) -> DataFrame:
+    """The rows as often as they count, without the multiplicity."""
+    rows = df.withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("long"), COPIES)))
+    return rows.drop(COPIES)
+
+
 def holdout_groups(backfills: dict[str, DataFrame], audience_list: DataFrame) -> DataFrame:
     """(identity_value, audiencecohort): union-distinct of the four backfills and the list."""
     parts = [
@@ -75,39 +92,33 @@ def tracking_ids(customer_keys: DataFrame) -> DataFrame:
         "profileid", F.col("externalprofilerid").alias("aid"))
 
 
-def holdout_users(
-    customer_keys: DataFrame, holdouts: DataFrame, signup: DataFrame, params: Params,
-    threshold=None,
-) -> DataFrame:
-    """(profileid, mparticleid, audiencecohort, aid, signup_date) of holdout profiles.
+def holdout_users(customer_keys: DataFrame, holdouts: DataFrame, signup: DataFrame, params: Params) -> DataFrame:
+    """(profileid, mparticleid, audiencecohort, aid, signup_date, copies) of holdout profiles.
 
-    Join multiplicity is kept: the reference joins the mapping to (mapping x
-    list) on the external id, so an id on k mapping rows matches k x k times,
-    and every tracking id of a profile gives a row (aid NULL if none). Only
-    profiles whose signup is before the tenure threshold are kept.
+    ``copies`` is the join multiplicity: the reference joins the mapping to
+    (mapping x list) on the external id, so an id on k mapping rows matches k x k
+    times, and every tracking id of a profile gives a row (aid NULL if none).
+    Only profiles whose signup is before the tenure threshold are kept.
 
-    The k x k self-join is not executed as such: the mapping rows per id are
-    counted (a partial aggregation), the count joins the id's labels (at most
-    one row per label), and each mapping row is then repeated ``count`` times
-    in place. A hot id thus never meets its own rows in one join task.
+    The mapping is first cut to the held-out ids. Its rows are then counted per
+    (id, profile) and per id, both partial aggregations; the product of the two
+    counts is the multiplicity, which later sums weigh by. Nothing is repeated,
+    however many mapping rows an id has.
     """
-    threshold = params.tenure_threshold if threshold is None else threshold
-    ckm = customer_keys.select("profileid", "externalprofilerid")
-    per_id = ckm.groupBy("externalprofilerid").agg(F.count(F.lit(1)).alias("_k"))
-    labels = holdouts.join(per_id, holdouts.identity_value == per_id.externalprofilerid).select(
-        F.col("identity_value").alias("mparticleid"), "audiencecohort", "_k")
-    # with dedupe_audience the copies would be dropped downstream, so none are made
-    copies = F.lit(1) if params.dedupe_audience else F.col("_k")
-    members = (
-        ckm.join(labels, ckm.externalprofilerid == labels.mparticleid)
-        .select("profileid", "mparticleid", "audiencecohort",
-                F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
-        .drop("_copy")
-    )
-    tenured = signup.filter(F.col("signup_date") < F.lit(threshold))
+    held = holdouts.select(F.col("identity_value").alias("externalprofilerid")).distinct()
+    rows = customer_keys.select("profileid", "externalprofilerid").join(held, "externalprofilerid", "left_semi")
+    per_profile = rows.groupBy("externalprofilerid", "profileid").agg(F.count(F.lit(1)).alias("_own"))
+    per_id = per_profile.groupBy(F.col("externalprofilerid").alias("identity_value")).agg(F.sum("_own").alias("_all"))
+    labels = holdouts.join(per_id, "identity_value").select(
+        F.col("identity_value").alias("externalprofilerid"), "audiencecohort", "_all")
+    # with dedupe_audience the copies would be dropped downstream
+    count = F.lit(1).cast("long") if params.dedupe_audience else F.col("_own") * F.col("_all")
+    members = per_profile.join(labels, "externalprofilerid").select(
+        "profileid", F.col("externalprofilerid").alias("mparticleid"), "audiencecohort", count.alias(COPIES))
+    tenured = signup.filter(F.col("signup_date") < F.lit(params.tenure_threshold))
     with_signup = members.join(tenured, members.profileid == tenured.householdid).drop("householdid")
     return with_signup.join(tracking_ids(customer_keys), "profileid", "left").select(
-        "profileid", "mparticleid", "audiencecohort", "aid", "signup_date")
+        "profileid", "mparticleid", "audiencecohort", "aid", "signup_date", COPIES)
 
 
 def eligible_households(signup: DataFrame, params: Params) -> DataFrame:
@@ -117,9 +128,7 @@ def eligible_households(signup: DataFrame, params: Params) -> DataFrame:
 
 def targetable(campaign: str, signup: DataFrame, holdout_users_df: DataFrame, params: Params) -> DataFrame:
     """(householdid, audiencecohort): eligible households not held out of ``campaign``."""
-    excl = list(TARGETABLE_EXCLUSIONS[campaign])
-    if campaign == "control":
-        excl[-1] = _braze_label(params)
+    excl = targetable_exclusions(params)[campaign]
     held = holdout_users_df.filter(F.col("audiencecohort").isin(*excl)).select("profileid")
     hh = eligible_households(signup, params)
     return hh.join(held, hh.householdid == held.profileid, "left_anti").select(
@@ -133,8 +142,7 @@ def targetable_master(signup: DataFrame, holdout_users_df: DataFrame, params: Pa
     is in (one aggregation, partial on the map side), left-join to the
     eligible households and emit one row per campaign the household is free of.
     """
-    excl = {c: list(v) for c, v in TARGETABLE_EXCLUSIONS.items()}
-    excl["control"][-1] = _braze_label(params)
+    excl = targetable_exclusions(params)
     all_labels = sorted({x for v in excl.values() for x in v})
     flags = holdout_users_df.groupBy("profileid").agg(
         *[F.max(F.col("audiencecohort") == x).alias(f"in_{i}") for i, x in enumerate(all_labels)])
@@ -157,17 +165,18 @@ def targetable_users(master: DataFrame, customer_keys: DataFrame) -> DataFrame:
 
 
 def all_audience(holdout_users_df: DataFrame, targetable_users_df: DataFrame, params: Params) -> DataFrame:
-    """(aid, profileid, audiencecohort): holdouts (minus the braze-exclusion label) and targetables."""
-    h = holdout_users_df.filter(F.col("audiencecohort") != _braze_label(params)).select(
-        "aid", "profileid", "audiencecohort")
-    out = h.unionByName(targetable_users_df.select("aid", "profileid", "audiencecohort"))
-    return out.distinct() if params.dedupe_audience else out
+    """(aid, profileid, audiencecohort, copies): holdouts (minus the braze-exclusion label) and targetables."""
+    cols = ["aid", "profileid", "audiencecohort"]
+    h = holdout_users_df.filter(F.col("audiencecohort") != _braze_label(params))
+    h, t = (df.select(*cols, copies(df).alias(COPIES)) for df in (h, targetable_users_df))
+    out = h.unionByName(t)
+    return out.select(*cols).distinct().withColumn(COPIES, F.lit(1).cast("long")) if params.dedupe_audience else out
 
 
 def audience_signup(audience: DataFrame, signup: DataFrame) -> DataFrame:
     """+ signup_date (left join: NULL when the profile has no household)."""
     return audience.join(signup, audience.profileid == signup.householdid, "left").select(
-        "aid", "profileid", "audiencecohort", "signup_date")
+        "aid", "profileid", "audiencecohort", "signup_date", copies(audience).alias(COPIES))
 
 
 def adopter_group(audience_with_signup: DataFrame, params: Params) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_midnight
 from ..params import Params
+from .audience import COPIES, copies
 
 SHORTFORM = "shortform"
 KEYS = ["audiencecohort", "tenure_classification"]
@@ -57,6 +58,19 @@ def per_viewer_totals(video: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def _per_viewer(audience: DataFrame, totals: DataFrame, how: str) -> DataFrame:
+    """One row per aid x cohort x tenure; an audience row that stands for
+    several multiplies the sums, as joining every play to every row would."""
+    joined = audience.select("aid", *KEYS, copies(audience).alias(COPIES)).join(totals, "aid", how)
+    weighed = lambda c: F.sum(F.col(c) * F.col(COPIES))
+    return joined.groupBy("aid", *KEYS).agg(
+        F.max("distinct_titles").alias("distinct_titles"),
+        weighed("starts").alias("content_starts"),
+        weighed("completes").alias("content_completed"),
+        (weighed("seconds") / F.lit(3600)).alias("total_hours"),
+    )
+
+
 def viewer_stats(video: DataFrame, classification: DataFrame, params: Params) -> DataFrame:
     """Per aid x cohort x tenure: distinct titles, starts, completes and hours.
 
@@ -64,27 +78,22 @@ def viewer_stats(video: DataFrame, classification: DataFrame, params: Params) ->
     grouping: a duplicated audience row multiplies the sums (as in the
     reference), the distinct title count is unaffected.
     """
-    totals = per_viewer_totals(video, params)
-    aud = classification.select("aid", *KEYS)
-    j = aud.join(totals, "aid")
-    return j.groupBy("aid", *KEYS).agg(
-        F.max("distinct_titles").alias("distinct_titles"),
-        F.sum("starts").alias("content_starts"),
-        F.sum("completes").alias("content_completed"),
-        (F.sum("seconds") / F.lit(3600)).alias("total_hours"),
-    )
+    return _per_viewer(classification, per_viewer_totals(video, params), "inner")
 
 
-def cohort_kpis(viewer_stats_df: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
-    """KPIs per cohort x tenure (NULL tenure is a group of its own).
+def cohort_kpis(video: DataFrame, classification: DataFrame, params: Params) -> DataFrame:
+    """KPIs and audience size per cohort x tenure (NULL tenure is a group of its own).
 
-    ``conversions_watched_video`` is count(*): aid is non-NULL and unique per
-    group in ``viewer_stats``, so it equals count(distinct aid) without a
-    distinct aggregation. With ``sizes``, audience_size is attached by a
-    null-safe inner join (a group without viewers has no KPI row).
+    One pass over the audience: its rows with a tracking id are left-joined to
+    the viewers' totals and grouped per aid where they lie (the join's
+    partitioning), so that one final group-by counts the audience (all rows)
+    and the viewers (rows with totals) without a distinct count. A group
+    without viewers has no row.
     """
-    n = F.count(F.lit(1))
-    kpis = viewer_stats_df.groupBy(*KEYS).agg(
+    audience = classification.filter(F.col("aid").isNotNull())
+    per = _per_viewer(audience, per_viewer_totals(video, params), "left")
+    n = F.count("content_starts")
+    return per.groupBy(*KEYS).agg(
         n.alias("conversions_watched_video"),
         (F.sum("distinct_titles") / n).alias("repertoire"),
         F.stddev_samp("distinct_titles").alias("repertoire_stddev"),
@@ -94,10 +103,5 @@ def cohort_kpis(viewer_stats_df: DataFrame, sizes: DataFrame | None = None) -> D
         (F.sum("content_completed") / F.sum("content_starts")).alias("avg_completion_rate"),
         F.sum("content_starts").alias("all_starts"),
         F.sum("content_completed").alias("all_completes"),
-    )
-    if sizes is None:
-        return kpis
-    s = sizes.select(F.col("audiencecohort").alias("_c"), F.col("tenure_classification").alias("_t"),
-                     "audience_size")
-    cond = kpis.audiencecohort.eqNullSafe(s._c) & kpis.tenure_classification.eqNullSafe(s._t)
-    return kpis.join(s, cond).drop("_c", "_t")
+        F.count(F.lit(1)).alias("audience_size"),
+    ).filter(F.col("conversions_watched_video") > 0)

@@ -28,27 +28,28 @@ _ONE_DAY = dt.timedelta(days=1)
 
 
 def daily_last_view(video: DataFrame, params: Params) -> DataFrame:
-    """(report_date, tracking_id, most_recent_start) for each day in
-    [dlv_start, dlv_end] on which the viewer has a started play on or before it.
+    """(report_date, tracking_id, most_recent_start) for each day from
+    ``params.status_start`` to ``status_end`` on which the viewer has a started
+    play on or before it.
 
-    Built from intervals, not from days x plays: per viewer, the distinct
-    start days inside the range plus the latest start before it; each start
+    Built from intervals, not from days x plays, in one scan: per viewer, the
+    distinct start days inside the range plus the latest start before it (all
+    earlier days fall into one group, of which the latest stays); each start
     day holds until the next one (``lead``), and only that interval is
     expanded to days. Per viewer at most (days in range + 1) rows reach the
     window, so a viewer with a third of all plays is still a small partition.
     """
-    lo, hi = params.dlv_start, params.dlv_end
+    lo, hi = params.status_start, params.status_end
     starts = video.filter((F.col("num_views_started") == 1) & (F.col("adobe_date") <= F.lit(hi))).select(
         F.col("adobe_tracking_id").alias("tracking_id"), F.col("adobe_date").alias("d"))
-    before = starts.filter(F.col("d") < F.lit(lo)).groupBy("tracking_id").agg(F.max("d").alias("d"))
-    inside = starts.filter(F.col("d") >= F.lit(lo)).distinct()
-    points = before.unionByName(inside)
+    day = F.greatest(F.col("d"), F.lit(lo - _ONE_DAY))
+    points = starts.groupBy("tracking_id", day.alias("day")).agg(F.max("d").alias("d")).select("tracking_id", "d")
     nxt = F.lead("d").over(Window.partitionBy("tracking_id").orderBy("d"))
     seg = points.select(
         "tracking_id", "d",
         F.greatest(F.col("d"), F.lit(lo)).alias("since"),
         F.coalesce(F.date_sub(nxt, 1), F.lit(hi)).alias("until"),
-    ).filter(F.col("since") <= F.col("until"))  # the anchor is empty when a start falls on dlv_start
+    ).filter(F.col("since") <= F.col("until"))  # the anchor is empty when a start falls on the first day
     return seg.select(F.explode(F.sequence("since", "until")).alias("report_date"), "tracking_id",
                       F.col("d").alias("most_recent_start"))
 

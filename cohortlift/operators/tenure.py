@@ -29,8 +29,8 @@ def tenure_bucket(weeks) -> F.Column:
 
 
 def tenure_classification(audience_with_signup: DataFrame, params: Params) -> DataFrame:
-    """+ tenure_classification from Sunday weeks between signup and as_of."""
-    w = week_boundaries_between(F.lit(params.as_of), F.col("signup_date"))
+    """+ tenure_classification from Sunday weeks between signup and the tenure date."""
+    w = week_boundaries_between(F.lit(params.tenure_date), F.col("signup_date"))
     return audience_with_signup.withColumn("tenure_classification", tenure_bucket(w))
 
 

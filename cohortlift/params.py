@@ -44,15 +44,33 @@ class Params:
     save_gap_max: int = 29
     winback_gap_min: int = 30
     alpha: float = 0.05
+    # a cohort/tenure group without one of the arms: 'skip' it or raise an 'error'
+    on_missing_arm: str = "skip"
+    # the day tenure is counted to; None = as_of
+    tenure_as_of: Date | None = None
     # opt-in corrections of reference behaviour (defaults are faithful)
     exclude_braze: bool = False
     dedupe_audience: bool = False
-    # Also filter plays on adobe_date for partition pruning; valid only where
-    # adobe_date = date(adobe_timestamp).
-    prune_on_play_date: bool = True
-    # daily_last_view support table: report dates produced
-    dlv_start: Date = Date(2020, 11, 1)
-    dlv_end: Date = Date(2020, 12, 31)
+    # Also filter plays on adobe_date for partition pruning; drops plays whose
+    # adobe_date is not the date of adobe_timestamp.
+    prune_on_play_date: bool = False
+
+    def __post_init__(self):
+        if self.on_missing_arm not in ("skip", "error"):
+            raise ValueError(f"on_missing_arm: {self.on_missing_arm}")
+
+    @property
+    def status_start(self) -> Date:
+        """First report date a derived daily status needs: winback looks back to the launch."""
+        return min(self.launch_date, self.save_report_start)
+
+    @property
+    def status_end(self) -> Date:
+        return max(self.save_report_end, self.winback_report_end)
+
+    @property
+    def tenure_date(self) -> Date:
+        return self.tenure_as_of or self.as_of
 
     @property
     def tenure_threshold(self) -> Date:
@@ -99,6 +117,4 @@ FIXTURE_PARAMS = Params(
     launch_date=Date(1995, 7, 29),
     save_signup_floor=Date(1995, 6, 21),
     winback_signup_floor=Date(1995, 7, 29),
-    dlv_start=Date(1996, 1, 1),
-    dlv_end=Date(1996, 3, 31),
 )

@@ -29,15 +29,13 @@ from ..sources.fixtures import Inputs
 
 
 class Analysis:
-    def __init__(self, inputs: Inputs, params: Params):
+    def __init__(self, inputs: Inputs, params: Params, tables: dict[str, DataFrame] | None = None):
         self.i = inputs
         self.p = params
-        self._overrides: dict[str, DataFrame] = {}
+        self.tables = tables or {}  # steps that are read instead of computed
 
     def _get(self, name: str, build):
-        if name in self._overrides:
-            return self._overrides[name]
-        return build()
+        return self.tables[name] if name in self.tables else build()
 
     # audience ------------------------------------------------------------
     @functools.cached_property
@@ -54,7 +52,20 @@ class Analysis:
             self.i.customer_keys, self.holdout_groups, self.household_signup, self.p))
 
     def targetable(self, campaign: str) -> DataFrame:
-        return A.targetable(campaign, self.household_signup, self.holdout_users, self.p)
+        return self._get(f"targetable_{campaign}", lambda: A.targetable(
+            campaign, self.household_signup, self.holdout_users, self.p))
+
+    @property
+    def targetable_control(self) -> DataFrame:
+        return self.targetable("control")
+
+    @property
+    def targetable_paidsoc(self) -> DataFrame:
+        return self.targetable("paidsoc")
+
+    @property
+    def targetable_paiddis(self) -> DataFrame:
+        return self.targetable("paiddis")
 
     @functools.cached_property
     def targetable_master(self) -> DataFrame:
@@ -76,7 +87,7 @@ class Analysis:
 
     @functools.cached_property
     def adopter_group(self) -> DataFrame:
-        return A.adopter_group(self.audience_signup, self.p)
+        return self._get("adopter_group", lambda: A.adopter_group(self.audience_signup, self.p))
 
     @functools.cached_property
     def classification(self) -> DataFrame:
@@ -97,7 +108,8 @@ class Analysis:
 
     @functools.cached_property
     def cohort_kpis(self) -> DataFrame:
-        return self._get("cohort_kpis", lambda: E.cohort_kpis(self.viewer_stats, self.audience_size))
+        return self._get("cohort_kpis", lambda: E.cohort_kpis(
+            self.i.silver_video, self.classification, self.p))
 
     # save / winback ------------------------------------------------------
     @functools.cached_property
@@ -105,9 +117,14 @@ class Analysis:
         """The support operator: daily last-start status derived from plays."""
         return LP.daily_last_view(self.i.silver_video, self.p)
 
+    @functools.cached_property
+    def daily_last_view_status(self) -> DataFrame:
+        """The status table the rates read: the given one, or the derived one."""
+        return self._get("daily_last_view_status", lambda: self.i.daily_last_view_status)
+
     @functools.cached_property
     def lapsing_save(self) -> DataFrame:
-        return LP.lapsing_save(self.i.daily_last_view_status, self.p)
+        return LP.lapsing_save(self.daily_last_view_status, self.p)
 
     @functools.cached_property
     def returning_save(self) -> DataFrame:
@@ -120,7 +137,7 @@ class Analysis:
 
     @functools.cached_property
     def lapsing_winback(self) -> DataFrame:
-        return LP.lapsing_winback(self.i.daily_last_view_status, self.p)
+        return LP.lapsing_winback(self.daily_last_view_status, self.p)
 
     @functools.cached_property
     def returning_winback(self) -> DataFrame:
@@ -167,14 +184,14 @@ class Analysis:
 
     # production path -----------------------------------------------------
     # The reference's run order: each statement writes a table the next reads.
-    STAGES = ("holdout_groups", "household_signup", "holdout_users", "targetable_master", "targetable_users",
-              "all_audience", "audience_signup", "classification")
+    # Audience tables carry ``copies``, the rows of the reference's table a row stands for.
+    STAGES = ("holdout_groups", "household_signup", "holdout_users", "targetable_control", "targetable_paidsoc",
+              "targetable_paiddis", "targetable_master", "targetable_users", "all_audience", "audience_signup",
+              "adopter_group", "classification")
 
     def with_tables(self, tables: dict[str, DataFrame]) -> "Analysis":
         """An Analysis that reads the given steps from ``tables`` instead of computing them."""
-        out = Analysis(self.i, self.p)
-        out._overrides = dict(tables)
-        return out
+        return Analysis(self.i, self.p, {**self.tables, **tables})
 
     def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Analysis":
         """Write each step of ``stages`` under ``root`` in order, every step

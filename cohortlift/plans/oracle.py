@@ -1,11 +1,12 @@
 """``oracle_sql()``: DuckDB SQL for every ``queries()`` key.
 
 The oracle sees only the driver's tables, so each string starts with the
-fixture adapters as CTEs (the same rules as ``sources.fixtures``). The
-analysis steps are then written in the reference's literal forms (full
-outer join + IS NULL, left join + WHERE, range join + DISTINCT, COUNT
-DISTINCT), while the Spark side uses the rewritten forms, so the comparison
-also checks the rewrites. Doubles are rounded to 6 decimals at the end.
+fixture adapters as CTEs (the same rules as ``sources.fixtures``). The steps
+are stated from their meaning (SURVEY section 2B) in forms of their own:
+lookup tables of labels and tenure ranges, NOT EXISTS for the targetables,
+counted multiplicities for the audience's repeated rows, an as-of join for the
+daily status, EXISTS for returning viewers, grouped weights for the KPIs, and
+Simpson's rule for the p-values. Doubles are rounded to 6 decimals at the end.
 """
 
 from __future__ import annotations
@@ -13,54 +14,46 @@ from __future__ import annotations
 import re
 
 from ..functions import labels as L
-from ..functions.stats import GL_NODES, GL_OFFSETS, GL_WEIGHTS, NORMAL_SPAN, T_SPAN
 from ..params import FIXTURE_PARAMS, Params
 from ..sources import fixtures as FX
 
 NY = "America/New_York"
+# Simpson's rule: intervals of the normal tail (length 12) and of the t density's angle.
+NORMAL_TAIL, NORMAL_STEPS, T_STEPS = 12.0, 2400, 20000
 
 
 def _d(x) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def _ny_date(col: str) -> str:
-    return f"CAST(timezone('{NY}', timezone('UTC', {col})) AS DATE)"
+def _values(rows) -> str:
+    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else f"'{v}'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows) + ")"
 
 
-def _quad(lo: str, hi: str, f, panels: int) -> str:
-    """Composite Gauss-Legendre integral of f over [lo, hi] as a DuckDB list expression."""
-    k = GL_NODES
-    w = f"((({hi}) - ({lo})) / {float(panels)})"
-    offs = "([" + ", ".join(repr(v) for v in GL_OFFSETS) + "]::DOUBLE[])"
-    wts = "([" + ", ".join(repr(v) for v in GL_WEIGHTS) + "]::DOUBLE[])"
-    x = f"(({lo}) + (CAST(i // {k} AS DOUBLE) + {offs}[i % {k} + 1]) * {w})"
-    return (f"(list_sum(list_transform(range(0, {panels * k}), lambda i: {wts}[i % {k} + 1] * ({f(x)}))) "
-            f"* {w})")
+def _simpson(lo: str, hi: str, f, n: int) -> str:
+    """Integral of f over [lo, hi] with n (even) intervals, as a list expression."""
+    h = f"((({hi}) - ({lo})) / {float(n)})"
+    weight = f"(CASE WHEN i = 0 OR i = {n} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)"
+    return f"(list_sum(list_transform(range(0, {n + 1}), lambda i: {weight} * {f(f'(({lo}) + i * {h})')})) * {h} / 3.0)"
 
 
 def _normal_p(z: str) -> str:
     a = f"abs({z})"
-    tail = _quad(a, f"{a} + {float(NORMAL_SPAN)}", lambda u: f"exp(-({u}) * ({u}) / 2.0)", NORMAL_SPAN)
-    return f"(CASE WHEN {z} IS NOT NULL THEN least({tail} * (2.0 / sqrt(2.0 * pi())), 1.0) END)"
+    tail = _simpson(a, f"{a} + {NORMAL_TAIL}", lambda x: f"exp(-{x} * {x} / 2.0)", NORMAL_STEPS)
+    return f"(CASE WHEN {z} IS NOT NULL THEN least(1.0, {tail} * sqrt(2.0 / pi())) END)"
 
 
 def _t_p(t: str, df: str) -> str:
-    r = f"sqrt({df})"
-    top = f"({r} * pi() / 2.0)"
-    lo = f"({r} * atan(abs({t}) / {r}))"
-
-    def dens(u):
-        return f"pow(cos(({u}) / {r}), {df} - 1.0)"
-
-    num = _quad(lo, f"least({top}, {lo} + {float(T_SPAN)})", dens, T_SPAN)
-    den = _quad("0.0", f"least({top}, {float(T_SPAN)})", dens, T_SPAN)
-    return f"(CASE WHEN {t} IS NOT NULL AND {df} > 0 THEN least(greatest({num} / {den}, 0.0), 1.0) END)"
+    """Both tails: with t = sqrt(df) tan(x) the density is proportional to cos(x)^(df - 1)."""
+    density = lambda x: f"pow(greatest(cos{x}, 0.0), {df} - 1.0)"
+    tail = _simpson(f"atan(abs({t}) / sqrt({df}))", "pi() / 2.0", density, T_STEPS)
+    whole = _simpson("0.0", "pi() / 2.0", density, T_STEPS)
+    return f"(CASE WHEN {t} IS NOT NULL AND {df} > 0 THEN least(1.0, {tail} / {whole}) END)"
 
 
 def _ctes(p: Params) -> list[tuple[str, str]]:
     thr = _d(p.tenure_threshold)
-    lab = L.AUDIENCE_LIST_NAMES
     aud_case = " ".join(f"WHEN {r} THEN '{n}'" for r, n in FX._AUDIENCE_BY_RESIDUE.items())
     base_ts = f"TIMESTAMP '{FX.OPTIN_BASE_UTC.isoformat(sep=' ')}'"
     optin = f"{base_ts} - to_days(CAST((7 * k) % {FX.OPTIN_SPREAD_DAYS} AS INTEGER))"
@@ -98,181 +91,159 @@ def _ctes(p: Params) -> list[tuple[str, str]]:
                    CAST(l.l_quantity * 60 AS DOUBLE) AS num_seconds_played_no_ads
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                             JOIN part p ON l.l_partkey = p.p_partkey"""),
-        ("dlv_days", f"""
-            SELECT CAST(d AS DATE) AS report_date
-            FROM generate_series(CAST({_d(p.dlv_start)} AS TIMESTAMP), CAST({_d(p.dlv_end)} AS TIMESTAMP),
-                                 INTERVAL 1 DAY) g(d)"""),
-        # literal definition: per day and viewer, the latest start on or before the day
-        ("daily_last_view_status", """
-            SELECT dd.report_date, v.adobe_tracking_id AS tracking_id, max(v.adobe_date) AS most_recent_start
-            FROM dlv_days dd JOIN silver_video v ON v.adobe_date <= dd.report_date
-            WHERE v.num_views_started = 1
-            GROUP BY dd.report_date, v.adobe_tracking_id"""),
-        # ---- audience (SQL as in the reference's scripts) ----
-        ("holdout_groups", f"""
-            SELECT identity_value, '{L.holdout('control')}' AS audiencecohort
-              FROM all_media_holdout_backfill WHERE identity_type = 'other_5'
-            UNION SELECT identity_value, '{L.holdout('paidsoc')}'
-              FROM paid_social_holdout_backfill WHERE identity_type = 'other_5'
-            UNION SELECT identity_value, '{L.holdout('paiddis')}'
-              FROM paid_display_holdout_backfill WHERE identity_type = 'other_5'
-            UNION SELECT identity_value, '{L.holdout('braze')}'
-              FROM paid_braze_holdout_backfill WHERE identity_type = 'other_5'
-            UNION SELECT identityvalues_other_id_5 AS identity_value,
-                   CASE audiencename {' '.join(f"WHEN '{n}' THEN '{v}'" for n, v in lab.items())} END
-              FROM audience_list WHERE audiencename IN ({', '.join(f"'{n}'" for n in lab)})"""),
+    ]
+    control, social, display, braze = (L.holdout(c) for c in ("control", "paidsoc", "paiddis", "braze"))
+    tags = [*zip(FX.BACKFILL_RESIDUES, (control, social, display, braze), strict=True), *L.AUDIENCE_LIST_NAMES.items()]
+    blocked = [("control", x) for x in (control, social, display, L.BRAZE_EXCLUSION_LABEL)]
+    blocked += [("paidsoc", control), ("paidsoc", social), ("paiddis", control), ("paiddis", display)]
+    arms = [(c, L.targetable(c)) for c in ("control", "paidsoc", "paiddis")]
+    ranges = [("FIRST_WEEK", 1, 1), ("SECOND_WEEK", 2, 2), ("THIRD_FOURTH_WEEK", 3, 4), ("SECOND_MONTH", 5, 7),
+              ("THREE_PLUS_MONTHS", 8, 10**6)]
+    lists = " UNION ALL ".join(f"SELECT '{t}' AS origin, identity_value AS ident, identity_type AS kind FROM {t}"
+                               for t in FX.BACKFILL_RESIDUES)
+    start = f"CAST({_d(p.campaign_start_period)} AS TIMESTAMP)"
+    ctes += [
+        # ---- audience ----
+        ("tagged", f"""
+            SELECT ident, kind, label FROM ({lists}
+                   UNION ALL SELECT audiencename, identityvalues_other_id_5, 'other_5' FROM audience_list) l
+            JOIN {_values(tags)} tag(origin, label) USING (origin)"""),
+        ("holdout_groups", """
+            SELECT ident AS identity_value, label AS audiencecohort FROM tagged
+            WHERE kind = 'other_5' GROUP BY ident, label"""),
         ("household_signup", f"""
-            SELECT DISTINCT householdid, CAST(min(timezone('{NY}', timezone('UTC', targetedoptindate))) AS DATE)
-                   AS signup_date
-            FROM account_view GROUP BY householdid"""),
-        ("master_holdout_userinfo", """
-            SELECT a.profileid, a.externalprofilerid AS mparticleid, b.audiencecohort, c.aid
-            FROM customer_keys a
-            JOIN (SELECT map.profileid, map.externalprofilerid AS mparticleid, list.audiencecohort
-                  FROM customer_keys map JOIN holdout_groups list ON map.externalprofilerid = list.identity_value) b
-              ON a.externalprofilerid = b.mparticleid
-            LEFT JOIN (SELECT profileid AS profileid_b, externalprofilerid AS aid
-                       FROM customer_keys WHERE partnerorsystemid = 'trackingid') c
-              ON a.profileid = c.profileid_b"""),
-        ("holdout_users", f"""
-            SELECT a.*, b.signup_date FROM master_holdout_userinfo a
-            LEFT JOIN household_signup b ON a.profileid = b.householdid
-            WHERE b.signup_date < {thr}"""),
-        ("optin_households", f"""
-            SELECT DISTINCT householdid FROM account_view WHERE {_ny_date('targetedoptindate')} < {thr}"""),
+            SELECT householdid, min(day) AS signup_date
+            FROM (SELECT householdid, CAST(timezone('{NY}', timezone('UTC', targetedoptindate)) AS DATE) AS day
+                  FROM account_view) GROUP BY householdid"""),
+        ("trackers", "SELECT profileid, externalprofilerid AS aid FROM customer_keys WHERE partnerorsystemid = 'trackingid'"),
+        # an id on k mapping rows counts k times for each of them
+        ("weighted_members", """
+            SELECT profileid, externalprofilerid AS mparticleid,
+                   count(*) * sum(count(*)) OVER (PARTITION BY externalprofilerid) AS times
+            FROM customer_keys GROUP BY profileid, externalprofilerid"""),
+        ("weighted_holdouts", f"""
+            SELECT m.profileid, mparticleid, audiencecohort, aid, signup_date, times
+            FROM household_signup s JOIN weighted_members m ON m.profileid = s.householdid AND s.signup_date < {thr}
+            JOIN holdout_groups g ON g.identity_value = mparticleid
+            LEFT JOIN trackers t ON t.profileid = m.profileid"""),
+        ("holdout_users", """
+            SELECT profileid, mparticleid, audiencecohort, aid, signup_date
+            FROM weighted_holdouts, unnest(range(CAST(times AS BIGINT)))"""),
+        ("free_households", f"""
+            SELECT householdid, campaign, label
+            FROM household_signup s, {_values(arms)} arm(campaign, label)
+            WHERE signup_date < {thr}
+              AND NOT EXISTS (FROM weighted_holdouts h JOIN {_values(blocked)} b(c, held) ON b.held = h.audiencecohort
+                              WHERE b.c = campaign AND h.profileid = s.householdid)"""),
     ]
-    excl = {
-        "control": [L.holdout("control"), L.holdout("paidsoc"), L.holdout("paiddis"), L.BRAZE_EXCLUSION_LABEL],
-        "paidsoc": [L.holdout("control"), L.holdout("paidsoc")],
-        "paiddis": [L.holdout("control"), L.holdout("paiddis")],
-    }
-    for c, labels in excl.items():
-        ors = " OR ".join(f"audiencecohort = '{x}'" for x in labels)
+    for c, _ in arms:
         ctes.append((f"targetable_{c}", f"""
-            SELECT all_householdids.householdid, '{L.targetable(c)}' AS audiencecohort
-            FROM optin_households all_householdids
-            FULL OUTER JOIN (SELECT DISTINCT profileid FROM holdout_users WHERE {ors}) holdouts
-              ON all_householdids.householdid = holdouts.profileid
-            WHERE holdouts.profileid IS NULL"""))
+            SELECT householdid, label AS audiencecohort FROM free_households WHERE campaign = '{c}'"""))
     ctes += [
-        ("targetable_master", """
-            SELECT householdid AS profileid, audiencecohort FROM (
-              SELECT * FROM targetable_control UNION ALL SELECT * FROM targetable_paidsoc
-              UNION ALL SELECT * FROM targetable_paiddis)"""),
+        ("targetable_master", "SELECT householdid AS profileid, label AS audiencecohort FROM free_households"),
         ("targetable_users", """
-            SELECT b.profileid, b.externalprofilerid AS aid, a.audiencecohort
-            FROM targetable_master a
-            LEFT JOIN (SELECT profileid, externalprofilerid FROM customer_keys
-                       WHERE partnerorsystemid = 'trackingid') b ON a.profileid = b.profileid
-            WHERE b.profileid IS NOT NULL"""),
-        ("all_audience", f"""
-            SELECT aid, profileid, audiencecohort FROM holdout_users
-            WHERE audiencecohort <> '{L.BRAZE_EXCLUSION_LABEL}'
-            UNION ALL SELECT aid, profileid, audiencecohort FROM targetable_users"""),
+            SELECT profileid, aid, label AS audiencecohort
+            FROM trackers JOIN free_households ON householdid = profileid"""),
+        ("weighted_audience", f"""
+            SELECT aid, profileid, audiencecohort, times FROM weighted_holdouts
+            WHERE audiencecohort NOT IN ('{L.BRAZE_EXCLUSION_LABEL}')
+            UNION ALL SELECT aid, profileid, audiencecohort, 1 FROM targetable_users"""),
+        ("all_audience", """
+            SELECT aid, profileid, audiencecohort FROM weighted_audience, unnest(range(CAST(times AS BIGINT)))"""),
+        ("weighted_signup", """
+            SELECT w.*, (SELECT signup_date FROM household_signup WHERE householdid = w.profileid) AS signup_date
+            FROM weighted_audience w"""),
         ("audience_signup", """
-            SELECT a.*, b.signup_date FROM all_audience a
-            LEFT JOIN household_signup b ON a.profileid = b.householdid"""),
+            SELECT aid, profileid, audiencecohort, signup_date
+            FROM weighted_signup, unnest(range(CAST(times AS BIGINT)))"""),
         ("adopter_group", f"""
-            SELECT *, CASE WHEN signup_date < {_d(p.campaign_start_date)} THEN 'pre'
-                           WHEN signup_date >= {_d(p.campaign_start_date)} THEN 'during'
-                           ELSE 'not_in_cohort' END AS adopter_group
-            FROM audience_signup"""),
-        ("classification", f"""
-            SELECT *, CASE WHEN w = 1 THEN 'FIRST_WEEK' WHEN w = 2 THEN 'SECOND_WEEK'
-                           WHEN w IN (3, 4) THEN 'THIRD_FOURTH_WEEK'
-                           WHEN w >= 4 AND w < 8 THEN 'SECOND_MONTH'
-                           WHEN w >= 8 THEN 'THREE_PLUS_MONTHS' END AS tenure_classification
-            FROM (SELECT *, CAST(floor(date_diff('day', DATE '1970-01-04', {_d(p.as_of)}) / 7) AS BIGINT)
-                          - CAST(floor(date_diff('day', DATE '1970-01-04', signup_date) / 7) AS BIGINT) AS w
-                  FROM audience_signup)"""),
+            SELECT *, if(signup_date IS NULL, 'not_in_cohort', if(signup_date < {_d(p.campaign_start_date)}, 'pre', 'during'))
+                      AS adopter_group FROM audience_signup"""),
+        ("weighted_class", f"""
+            SELECT a.*, r.name AS tenure_classification
+            FROM weighted_signup a LEFT JOIN {_values(ranges)} r(name, lo, hi)
+              ON ({_d(p.tenure_date)} - DATE '1899-12-31') // 7 - (signup_date - DATE '1899-12-31') // 7 BETWEEN lo AND hi"""),
+        ("classification", """
+            SELECT aid, profileid, audiencecohort, signup_date, tenure_classification
+            FROM weighted_class, unnest(range(CAST(times AS BIGINT)))"""),
+        ("members", """
+            SELECT aid, audiencecohort, tenure_classification, sum(times) AS times, max(signup_date) AS signup_date
+            FROM weighted_class WHERE aid IS NOT NULL GROUP BY ALL"""),
         ("audience_size", """
-            SELECT audiencecohort, tenure_classification, count(DISTINCT aid) AS audience_size
-            FROM classification GROUP BY audiencecohort, tenure_classification"""),
+            SELECT audiencecohort, tenure_classification, sum(if(aid IS NULL, 0, 1))::BIGINT AS audience_size
+            FROM (SELECT DISTINCT aid, audiencecohort, tenure_classification FROM weighted_class) GROUP BY 1, 2"""),
         # ---- engagement ----
+        ("started", "SELECT * FROM silver_video WHERE num_views_started = 1"),
         ("title_normalisation", """
-            SELECT *, CASE WHEN lower(consumption_type) LIKE '%shortform%' THEN 'shortform'
-                           ELSE program END AS new_program
-            FROM silver_video WHERE num_views_started = 1"""),
-        ("overall_stats", f"""
-            SELECT aid, audiencecohort, tenure_classification,
-                   count(DISTINCT new_program) AS distinct_titles,
-                   CAST(sum(num_views_started) AS BIGINT) AS content_starts,
-                   CAST(sum(num_views_completed) AS BIGINT) AS content_completed,
-                   sum(num_seconds_played_no_ads) / 3600 AS total_hours
-            FROM title_normalisation video
-            JOIN classification usertable ON video.adobe_tracking_id = usertable.aid
-             AND video.adobe_timestamp >= CAST({_d(p.campaign_start_period)} AS TIMESTAMP)
-             AND video.adobe_timestamp < CAST({_d(p.campaign_start_period)} AS TIMESTAMP)
-                                         + to_days({p.window_days})
-            GROUP BY aid, audiencecohort, tenure_classification"""),
-        ("general_stats", """
-            SELECT audiencecohort, tenure_classification,
-                   count(DISTINCT aid) AS conversions_watched_video,
-                   sum(distinct_titles) / count(DISTINCT aid) AS repertoire,
-                   stddev_samp(distinct_titles) AS repertoire_stddev,
-                   sum(content_starts) / count(DISTINCT aid) AS avg_starts,
-                   sum(total_hours) / count(DISTINCT aid) AS "usage",
-                   stddev_samp(total_hours) AS usage_stdv,
-                   sum(content_completed) / sum(content_starts) AS avg_completion_rate,
-                   CAST(sum(content_starts) AS BIGINT) AS all_starts,
-                   CAST(sum(content_completed) AS BIGINT) AS all_completes
-            FROM overall_stats GROUP BY audiencecohort, tenure_classification"""),
+            SELECT *, if(contains(lower(coalesce(consumption_type, '')), 'shortform'), 'shortform', program) AS new_program
+            FROM started"""),
+        ("viewing", f"""
+            SELECT adobe_tracking_id AS aid, len(list_distinct(list(new_program))) AS titles, count(*) AS starts,
+                   sum(num_views_completed) AS completes, sum(num_seconds_played_no_ads) AS seconds
+            FROM title_normalisation
+            WHERE date_diff('second', {start}, adobe_timestamp) >= 0
+              AND date_diff('second', {start} + to_days({p.window_days}), adobe_timestamp) < 0
+            GROUP BY 1"""),
+        ("viewers", """
+            SELECT aid, audiencecohort, tenure_classification, titles AS distinct_titles,
+                   CAST(starts * times AS BIGINT) AS content_starts, CAST(completes * times AS BIGINT) AS content_completed,
+                   seconds * times / 3600 AS total_hours
+            FROM members JOIN viewing USING (aid)"""),
         ("cohort_kpis", """
-            SELECT g.*, s.audience_size FROM general_stats g JOIN audience_size s
-              ON g.audiencecohort IS NOT DISTINCT FROM s.audiencecohort
-             AND g.tenure_classification IS NOT DISTINCT FROM s.tenure_classification"""),
-        # ---- save rate ----
+            SELECT v.*, z.audience_size FROM (
+              SELECT audiencecohort, tenure_classification, count(*) AS conversions_watched_video,
+                     avg(distinct_titles) AS repertoire, stddev_samp(distinct_titles) AS repertoire_stddev,
+                     avg(content_starts) AS avg_starts, avg(total_hours) AS "usage",
+                     stddev_samp(total_hours) AS usage_stdv,
+                     sum(content_completed) / sum(content_starts) AS avg_completion_rate,
+                     CAST(sum(content_starts) AS BIGINT) AS all_starts,
+                     CAST(sum(content_completed) AS BIGINT) AS all_completes
+              FROM viewers GROUP BY 1, 2) v
+            JOIN audience_size z ON (v.audiencecohort, coalesce(v.tenure_classification, '-'))
+                                  = (z.audiencecohort, coalesce(z.tenure_classification, '-'))"""),
+        # ---- daily status, save and winback ----
+        ("play_days", "SELECT DISTINCT adobe_tracking_id AS tracking_id, adobe_date AS day FROM started"),
+        ("daily_last_view_status", f"""
+            SELECT d.report_date, d.tracking_id, s.day AS most_recent_start
+            FROM (SELECT CAST(unnest(range(CAST({_d(p.status_start)} AS TIMESTAMP),
+                                           CAST({_d(p.status_end)} AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE)
+                         AS report_date, tracking_id FROM (SELECT DISTINCT tracking_id FROM play_days)) d
+            ASOF JOIN play_days s ON s.tracking_id = d.tracking_id AND s.day <= d.report_date"""),
+        ("gaps", f"""
+            SELECT *, abs(report_date - most_recent_start) AS gap FROM daily_last_view_status
+            WHERE report_date >= {_d(p.launch_date)}"""),
         ("lapsing_save", f"""
-            SELECT DISTINCT report_date, tracking_id, most_recent_start FROM daily_last_view_status
-            WHERE report_date >= {_d(p.launch_date)}
-              AND abs(date_diff('day', most_recent_start, report_date)) >= {p.save_gap_min}
-              AND abs(date_diff('day', most_recent_start, report_date)) <= {p.save_gap_max}
-              AND report_date BETWEEN {_d(p.save_report_start)} AND {_d(p.save_report_end)}"""),
-        ("returning_save", f"""
-            SELECT DISTINCT adobe_tracking_id FROM silver_video video
-            LEFT JOIN lapsing_save l ON video.adobe_tracking_id = l.tracking_id
-            WHERE video.adobe_date <= l.most_recent_start + to_days({p.save_gap_max})
-              AND video.adobe_date >= l.most_recent_start + to_days({p.save_gap_min})
-              AND num_views_started = 1
-              AND l.most_recent_start BETWEEN {_d(p.save_report_start)} AND {_d(p.save_report_end)}"""),
-        ("save_rate", f"""
-            SELECT audiencecohort, tenure_classification,
-                   count(DISTINCT tracking_id) AS save_rate_denom,
-                   count(DISTINCT adobe_tracking_id) AS saves,
-                   count(DISTINCT adobe_tracking_id) / count(DISTINCT tracking_id) AS save_rate
-            FROM (SELECT a.aid, a.audiencecohort, a.tenure_classification, b.tracking_id, b.adobe_tracking_id
-                  FROM classification a
-                  JOIN (SELECT * FROM lapsing_save LEFT JOIN returning_save
-                          ON lapsing_save.tracking_id = returning_save.adobe_tracking_id) b
-                    ON a.aid = b.tracking_id
-                  WHERE a.signup_date >= {_d(p.save_signup_floor)})
-            GROUP BY audiencecohort, tenure_classification"""),
-        # ---- winback rate ----
+            SELECT report_date, tracking_id, most_recent_start FROM gaps
+            WHERE gap >= {p.save_gap_min} AND gap < {p.save_gap_max + 1}
+              AND report_date >= {_d(p.save_report_start)} AND report_date <= {_d(p.save_report_end)}"""),
         ("lapsing_winback", f"""
-            SELECT DISTINCT report_date, tracking_id, most_recent_start FROM daily_last_view_status
-            WHERE report_date >= {_d(p.launch_date)}
-              AND abs(date_diff('day', most_recent_start, report_date)) >= {p.winback_gap_min}
-              AND report_date <= {_d(p.winback_report_end)}"""),
+            SELECT report_date, tracking_id, most_recent_start FROM gaps
+            WHERE gap >= {p.winback_gap_min} AND report_date <= {_d(p.winback_report_end)}"""),
+        ("returning_save", f"""
+            SELECT tracking_id AS adobe_tracking_id FROM (SELECT DISTINCT tracking_id FROM lapsing_save) v
+            WHERE EXISTS (FROM lapsing_save l JOIN play_days d USING (tracking_id)
+                          WHERE l.tracking_id = v.tracking_id
+                            AND l.most_recent_start >= {_d(p.save_report_start)}
+                            AND l.most_recent_start <= {_d(p.save_report_end)}
+                            AND d.day - l.most_recent_start IN ({', '.join(map(str, range(p.save_gap_min, p.save_gap_max + 1)))}))"""),
         ("returning_winback", f"""
-            SELECT DISTINCT adobe_tracking_id FROM silver_video video
-            LEFT JOIN lapsing_winback l ON video.adobe_tracking_id = l.tracking_id
-            WHERE video.adobe_date >= l.most_recent_start + to_days({p.winback_gap_min})
-              AND num_views_started = 1
-              AND video.adobe_date BETWEEN {_d(p.winback_report_start)} AND {_d(p.winback_report_end)}"""),
-        ("winback_rate", f"""
-            SELECT audiencecohort, tenure_classification,
-                   count(DISTINCT tracking_id) AS winback_rate_denom,
-                   count(DISTINCT adobe_tracking_id) AS winbacks,
-                   count(DISTINCT adobe_tracking_id) / count(DISTINCT tracking_id) AS winback_rate
-            FROM (SELECT a.aid, a.audiencecohort, a.tenure_classification, b.tracking_id, b.adobe_tracking_id
-                  FROM classification a
-                  JOIN (SELECT * FROM lapsing_winback LEFT JOIN returning_winback
-                          ON lapsing_winback.tracking_id = returning_winback.adobe_tracking_id) b
-                    ON a.aid = b.tracking_id
-                  WHERE a.signup_date >= {_d(p.winback_signup_floor)}
-                    AND a.signup_date <= {_d(p.winback_signup_ceiling)})
-            GROUP BY audiencecohort, tenure_classification"""),
+            SELECT tracking_id AS adobe_tracking_id
+            FROM (SELECT tracking_id, min(most_recent_start) AS since FROM lapsing_winback GROUP BY 1) v
+            WHERE EXISTS (FROM play_days d WHERE d.tracking_id = v.tracking_id AND d.day - v.since >= {p.winback_gap_min}
+                          AND d.day >= {_d(p.winback_report_start)} AND d.day <= {_d(p.winback_report_end)})"""),
     ]
+    for what, denom, num, bounds in (
+        ("save", "save_rate_denom", "saves", f"signup_date >= {_d(p.save_signup_floor)}"),
+        ("winback", "winback_rate_denom", "winbacks",
+         f"signup_date >= {_d(p.winback_signup_floor)} AND signup_date <= {_d(p.winback_signup_ceiling)}"),
+    ):
+        ctes.append((f"{what}_rate", f"""
+            SELECT audiencecohort, tenure_classification, count(*) AS {denom}, count(back) AS {num},
+                   count(back) / count(*) AS {what}_rate
+            FROM (SELECT DISTINCT aid, audiencecohort, tenure_classification FROM weighted_class
+                  WHERE {bounds} AND aid IN (SELECT tracking_id FROM lapsing_{what}))
+            LEFT JOIN (SELECT adobe_tracking_id AS aid, 1 AS back FROM returning_{what}) USING (aid)
+            GROUP BY 1, 2"""))
     # ---- labelled reports (the notebook's formatting) ----
     label_cols = f"""
             CASE split_part(audiencecohort, '_', 2) WHEN 'paiddis' THEN '{L.DISPLAY_PAID_DISPLAY}'
@@ -361,10 +332,10 @@ def _finals(p: Params) -> dict[str, str]:
         "all_audience": "SELECT * FROM all_audience",
         "audience_signup": "SELECT * FROM audience_signup",
         "adopter_group": "SELECT * FROM adopter_group",
-        "tenure_classification": "SELECT * EXCLUDE (w) FROM classification",
+        "tenure_classification": "SELECT * FROM classification",
         "audience_size": "SELECT * FROM audience_size",
         "title_normalisation": "SELECT * FROM title_normalisation",
-        "viewer_stats": "SELECT * REPLACE (round(total_hours, 6) AS total_hours) FROM overall_stats",
+        "viewer_stats": "SELECT * REPLACE (round(total_hours, 6) AS total_hours) FROM viewers",
         "cohort_kpis": f"SELECT {kpi_cols} FROM cohort_kpis",
         "daily_last_view": "SELECT * FROM daily_last_view_status",
         "lapsing_save": "SELECT * FROM lapsing_save",

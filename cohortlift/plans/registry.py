@@ -1,16 +1,10 @@
 """``queries()``: one entry per operator, each run over the driver's tables.
 
-Every callable takes (spark, sf_dir) and returns the operator's result over
-the driver's parquet tables at ``sf_dir``:
-
-* the reference's input tables are derived from the driver's tables
-  (``sources.fixtures``) and written once per session to the shared folder;
-* the audience steps are then written in the reference's order, like its
-  CREATE TABLE statements (``Analysis.materialise``); a key computes its own
-  step from the tables upstream of it, and analysis keys read the
-  classification table, as the reference's analysis scripts do;
-* the notebook's keys (labelled reports, significance tests) read the three
-  written rate tables, as the notebook reads the exported CSVs.
+Every callable takes (spark, sf_dir) and returns the operator's result as one
+lazy plan from the driver's parquet tables: the reference's input tables are
+views over them (``sources.fixtures``), and each key computes all steps from
+there. Nothing is written (but for the CSV hand-off of the csv_roundtrip
+keys), kept between calls or set on the session.
 
 Doubles are rounded to 6 decimals at the outermost projection (the oracle
 does the same), since floating sums differ in order between engines.
@@ -18,18 +12,19 @@ does the same), since floating sums differ in order between engines.
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.audience import expanded
 from ..params import FIXTURE_PARAMS, Params
-from ..session import apply_conf, shared_dir
+from ..session import shared_dir
 from ..sources import csv as CSV
 from ..sources import schemas as S
-from ..sources.fixtures import load_inputs
+from ..sources.fixtures import view_inputs
 from .analysis import Analysis
 
 ROUND = 6
@@ -43,102 +38,22 @@ def round_doubles(df: DataFrame, digits: int = ROUND) -> DataFrame:
     return df.select(*cols)
 
 
-class _Stages:
-    """The audience steps of one (session, directory, parameters), written on
-    demand in the reference's order: asking for step i writes steps 0..i-1
-    (those not yet written), each computed from the ones before it."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params):
-        self.spark = spark
-        self.lazy = Analysis(load_inputs(spark, sf_dir, params), params)
-        self.root = f"{shared_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
-        self.tables: dict[str, DataFrame] = {}
-
-    def _write(self, name: str, base: dict[str, DataFrame]) -> None:
-        if name not in self.tables:
-            df = getattr(self.lazy.with_tables(base), name)
-            path = f"{self.root}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            self.tables[name] = self.spark.read.parquet(path)
-
-    def upto(self, n: int) -> dict[str, DataFrame]:
-        for name in Analysis.STAGES[:n]:
-            self._write(name, self.tables)
-        return {k: self.tables[k] for k in Analysis.STAGES[:n]}
-
-    def rates(self) -> dict[str, DataFrame]:
-        """The audience steps plus the three exported rate tables, which the
-        reference's notebook (reports and tests) reads."""
-        audience = self.upto(len(Analysis.STAGES))
-        for name in RATE_TABLES:
-            self._write(name, audience)
-        return {**audience, **{k: self.tables[k] for k in RATE_TABLES}}
-
-
-_STAGES: dict[tuple, _Stages] = {}
-# result tables handed from the SQL scripts to the notebook (as CSV in the reference)
-RATE_TABLES = ("cohort_kpis", "save_rate", "winback_rate")
-NOTEBOOK = "notebook"  # step marker: reads the audience steps and the rate tables
-
-
-def _audience_params(params: Params) -> Params:
-    # the analysis window does not change any audience step
-    return params.replace(analysis_window_days=None)
-
-
-def staged(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Analysis:
-    """An Analysis reading the audience steps before ``step`` (all of them if
-    ``step`` is not one) from tables written once per session."""
-    apply_conf(spark)
-    # the rate tables depend on every parameter, the audience steps not on the window
-    sp = params if step == NOTEBOOK else _audience_params(params)
-    key = (id(spark), sf_dir, sp)
-    st = _STAGES.get(key)
-    if st is None or st.spark is not spark:
-        st = _STAGES[key] = _Stages(spark, sf_dir, sp)
-    if step == NOTEBOOK:
-        return Analysis(st.lazy.i, params).with_tables(st.rates())
-    n = Analysis.STAGES.index(step) if step in Analysis.STAGES else len(Analysis.STAGES)
-    return Analysis(st.lazy.i, params).with_tables(st.upto(n))
-
-
-_ANALYSES: dict[tuple, Analysis] = {}
-
-
-def analysis(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, step: str | None = None) -> Analysis:
-    """The plan for one query: upstream audience steps are read from their
-    written tables; ``step`` itself (if it is one of them) and everything
-    after it are computed.
-
-    Memoised per (session, directory, params, step): an Analysis holds only
-    lazy plans, so reuse skips driver-side plan construction while every
-    action still reads and computes anew.
-    """
-    key = (id(spark), sf_dir, params, step)
-    p = _ANALYSES.get(key)
-    if p is None or p.spark is not spark:
-        p = staged(spark, sf_dir, params, step)
-        p.spark = spark
-        _ANALYSES[key] = p
-    return p
-
-
-def _q(build: Callable[[Analysis], DataFrame], params: Params = FIXTURE_PARAMS, step: str | None = None):
+def analysis(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Analysis:
+    return Analysis(view_inputs(spark, sf_dir, params), params)
+
+
+def _q(build: Callable[[Analysis], DataFrame], params: Params = FIXTURE_PARAMS):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = analysis(spark, sf_dir, params, step)
-        cache = p.__dict__.setdefault("_query_results", {})
-        if build not in cache:
-            cache[build] = round_doubles(build(p))
-        return cache[build]
+        return round_doubles(build(analysis(spark, sf_dir, params)))
 
     return run
 
 
 def _csv_roundtrip(attr: str, schema: T.StructType):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        p = analysis(spark, sf_dir, FIXTURE_PARAMS, f"csv:{attr}")
-        path = f"{shared_dir(spark).rstrip('/')}/csv/{attr}-{uuid.uuid4().hex}"
-        CSV.write_csv(S.conform(getattr(p, attr), schema), path)
+        # one folder per table and input, overwritten
+        path = f"{shared_dir(spark)}/csv/{attr}-{zlib.crc32(sf_dir.encode()):08x}"
+        CSV.write_csv(S.conform(getattr(analysis(spark, sf_dir), attr), schema), path)
         return round_doubles(CSV.read_csv(spark, path, schema))
 
     return run
@@ -149,19 +64,19 @@ NO_TENURE = FIXTURE_PARAMS.replace(tenure_days=0)
 CUSTOM_WINDOW = FIXTURE_PARAMS.with_custom_window_end(FIXTURE_PARAMS.campaign_start_period.replace(day=16))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "holdout_groups": _q(lambda p: p.holdout_groups, step="holdout_groups"),
-    "household_signup": _q(lambda p: p.household_signup, step="household_signup"),
-    "holdout_users": _q(lambda p: p.holdout_users, step="holdout_users"),
-    "holdout_users_no_tenure": _q(lambda p: p.holdout_users, NO_TENURE, step="holdout_users"),
+    "holdout_groups": _q(lambda p: p.holdout_groups),
+    "household_signup": _q(lambda p: p.household_signup),
+    "holdout_users": _q(lambda p: expanded(p.holdout_users)),
+    "holdout_users_no_tenure": _q(lambda p: expanded(p.holdout_users), NO_TENURE),
     "targetable_control": _q(lambda p: p.targetable("control")),
     "targetable_paidsoc": _q(lambda p: p.targetable("paidsoc")),
     "targetable_paiddis": _q(lambda p: p.targetable("paiddis")),
-    "targetable_master": _q(lambda p: p.targetable_master, step="targetable_master"),
-    "targetable_users": _q(lambda p: p.targetable_users, step="targetable_users"),
-    "all_audience": _q(lambda p: p.all_audience, step="all_audience"),
-    "audience_signup": _q(lambda p: p.audience_signup, step="audience_signup"),
-    "adopter_group": _q(lambda p: p.adopter_group, step="classification"),
-    "tenure_classification": _q(lambda p: p.classification, step="classification"),
+    "targetable_master": _q(lambda p: p.targetable_master),
+    "targetable_users": _q(lambda p: p.targetable_users),
+    "all_audience": _q(lambda p: expanded(p.all_audience)),
+    "audience_signup": _q(lambda p: expanded(p.audience_signup)),
+    "adopter_group": _q(lambda p: expanded(p.adopter_group)),
+    "tenure_classification": _q(lambda p: expanded(p.classification)),
     "audience_size": _q(lambda p: p.audience_size),
     "title_normalisation": _q(lambda p: p.title_normalisation),
     "viewer_stats": _q(lambda p: p.viewer_stats),
@@ -174,15 +89,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lapsing_winback": _q(lambda p: p.lapsing_winback),
     "returning_winback": _q(lambda p: p.returning_winback),
     "winback_rate": _q(lambda p: p.winback_rate),
-    "kpi_report": _q(lambda p: p.kpi_report, step=NOTEBOOK),
-    "save_report": _q(lambda p: p.save_report, step=NOTEBOOK),
-    "winback_report": _q(lambda p: p.winback_report, step=NOTEBOOK),
-    "repertoire_significance": _q(lambda p: p.repertoire_significance(), step=NOTEBOOK),
-    "usage_significance": _q(lambda p: p.usage_significance(), step=NOTEBOOK),
-    "engagement_significance": _q(lambda p: p.engagement_significance(), step=NOTEBOOK),
-    "conversion_significance": _q(lambda p: p.conversion_significance(), step=NOTEBOOK),
-    "save_significance": _q(lambda p: p.save_significance(), step=NOTEBOOK),
-    "winback_significance": _q(lambda p: p.winback_significance(), step=NOTEBOOK),
+    "kpi_report": _q(lambda p: p.kpi_report),
+    "save_report": _q(lambda p: p.save_report),
+    "winback_report": _q(lambda p: p.winback_report),
+    "repertoire_significance": _q(lambda p: p.repertoire_significance()),
+    "usage_significance": _q(lambda p: p.usage_significance()),
+    "engagement_significance": _q(lambda p: p.engagement_significance()),
+    "conversion_significance": _q(lambda p: p.conversion_significance()),
+    "save_significance": _q(lambda p: p.save_significance()),
+    "winback_significance": _q(lambda p: p.winback_significance()),
     "csv_roundtrip_general": _csv_roundtrip("cohort_kpis", S.GENERAL_METRICS),
     "csv_roundtrip_save": _csv_roundtrip("save_rate", S.SAVE_RATES),
     "csv_roundtrip_winback": _csv_roundtrip("winback_rate", S.WINBACK_RATES),

@@ -39,9 +39,12 @@ def run(spark: SparkSession, locations: dict[str, str], params: Params, out: str
     """
     apply_conf(spark)
     out = (out or f"{shared_dir(spark).rstrip('/')}/run-{params.as_of.isoformat()}").rstrip("/")
-    p = Analysis(read_inputs(spark, locations, params), params).materialise(spark, f"{out}/tables")
+    p = Analysis(read_inputs(spark, locations, params), params)
+    # a status that has to be derived from the plays is a table of its own, read by both rates
+    derived = () if "daily_last_view_status" in locations else ("daily_last_view_status",)
+    p = p.materialise(spark, f"{out}/tables", (*Analysis.STAGES, *derived))
     rates = {}
-    paths = {}
+    paths = {name: f"{out}/tables/{name}" for name in (*Analysis.STAGES, *derived)}
     for csv_name, attr, schema in (("GeneralMetrics", "cohort_kpis", S.GENERAL_METRICS),
                                    ("SaveRates", "save_rate", S.SAVE_RATES),
                                    ("WinbackRates", "winback_rate", S.WINBACK_RATES)):
@@ -50,7 +53,7 @@ def run(spark: SparkSession, locations: dict[str, str], params: Params, out: str
         rates[attr] = spark.read.parquet(path)
         paths[csv_name] = f"{out}/csv/{csv_name}"
         CSV.write_csv(rates[attr], paths[csv_name])
-    done = p.with_tables({**p._overrides, **rates})
+    done = p.with_tables(rates)
     for name in RESULTS:
         paths[name] = f"{out}/results/{name}"
         getattr(done, name).write.mode("overwrite").parquet(paths[name])
@@ -64,6 +67,10 @@ def _date(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
+PARSE = {"Date": _date, "Date | None": _date, "int": int, "int | None": int, "float": float, "str": str,
+         "bool": lambda x: x.lower() in ("1", "true", "yes")}
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--inputs", required=True, help="JSON file: input name -> table or path")
@@ -71,7 +78,7 @@ def main(argv=None) -> None:
     ap.add_argument("--custom-window-end", default=None,
                     help="KPI window end + 1 day (the checklist's override of analysis_window)")
     for f in dataclasses.fields(Params):
-        if f.type in ("Date", "int", "float", "bool", "int | None"):
+        if f.type in PARSE:
             ap.add_argument("--" + f.name.replace("_", "-"), default=None)
     a = ap.parse_args(argv)
     kw = {}
@@ -79,8 +86,7 @@ def main(argv=None) -> None:
         v = getattr(a, f.name, None)
         if v is None:
             continue
-        kw[f.name] = {"Date": _date, "int": int, "int | None": int, "float": float,
-                      "bool": lambda x: x.lower() in ("1", "true", "yes")}[f.type](v)
+        kw[f.name] = PARSE[f.type](v)
     spark = SparkSession.builder.appName("cohortlift").getOrCreate()
     apply_cluster_defaults(spark)
     with open(a.inputs) as fh:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -78,19 +77,14 @@ def apply_conf(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder (``spark.checkpoint.dir``), read from the session.
 
-    On a cluster this setting names storage every executor can reach and is
-    read, never invented. Only where it is unset (local tests) is a scratch
-    folder created and registered.
+    Unset, it is an error, except on a single-machine master, where one folder
+    per application under /tmp stands in.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to storage shared by all executors")
-        d = tempfile.mkdtemp(prefix="cohortlift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+        d = f"/tmp/cohortlift-{spark.sparkContext.applicationId}"
+    return d.rstrip("/")

@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.labels import AUDIENCE_LIST_NAMES
 from ..params import FIXTURE_PARAMS, Params
 from . import schemas as S
 from .tables import read_table
@@ -24,13 +25,8 @@ OPTIN_BASE_UTC = dt.datetime(1996, 4, 2, 3, 30, 0)  # evening of 04-01 in New Yo
 OPTIN_SPREAD_DAYS = 90
 OPTIN_SECOND_ROW_DAYS = 10
 UNRELATED_AUDIENCE = "Weekly-Newsletter-Subscribers"
-_AUDIENCE_BY_RESIDUE = {  # k % 20 -> audience name
-    0: "Master-Media-Hold-Out-Groups---Control",
-    2: "Master-Media-Hold-Out-Groups---Paid-Display-Control-Group",
-    3: "Master-Media-Hold-Out-Groups---Braze-Control-Group",
-    11: "Master-Media-Hold-Out-Groups---Paid-Social-Control-Group",
-    14: UNRELATED_AUDIENCE,
-}
+# k % 20 -> audience name
+_AUDIENCE_BY_RESIDUE = {**dict(zip((0, 11, 2, 3), AUDIENCE_LIST_NAMES, strict=True)), 14: UNRELATED_AUDIENCE}
 # backfill table -> residue of k % 10 (the e-mail rows are k % 100 = 90 + residue)
 BACKFILL_RESIDUES = {
     "all_media_holdout_backfill": 0,
@@ -171,57 +167,3 @@ def view_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAM
         daily_last_view_status=lambda: daily_last_view(inputs.silver_video, params),
     )
     return inputs
-
-
-_TABLES: dict[tuple, Inputs] = {}
-
-
-def table_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
-    """The inputs written once per session as Parquet tables in the shared
-    folder and read back, as the reference reads warehouse tables.
-
-    The play and daily-status tables are range-clustered by date, so the
-    Parquet footers' min/max statistics let date filters skip whole files
-    (what partitioning by date does for a production play table).
-    """
-    import uuid
-
-    from ..session import shared_dir
-
-    key = (id(spark), sf_dir, params.dlv_start, params.dlv_end)
-    got = _TABLES.get(key)
-    if got is not None and got._spark is spark:
-        return got
-    root = f"{shared_dir(spark).rstrip('/')}/fixtures/{uuid.uuid4().hex}"
-    v = view_inputs(spark, sf_dir, params)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def put(name: str, df: DataFrame, cluster: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{root}/{name}"
-        if cluster:
-            # the viewer as second range key splits a day that holds a large share of rows
-            df = df.repartitionByRange(n, *cluster).sortWithinPartitions(*cluster)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    out = Inputs(
-        backfills={t: put(t, df) for t, df in v.backfills.items()},
-        audience_list=put("audience_list", v.audience_list),
-        customer_keys=put("customer_keys", v.customer_keys),
-        account_view=put("account_view", v.account_view),
-        silver_video=put("silver_video", v.silver_video, ("adobe_date", "adobe_tracking_id")),
-        daily_last_view_status=put("daily_last_view_status", v.daily_last_view_status,
-                                   ("report_date", "tracking_id")),
-    )
-    out._spark = spark
-    _TABLES[key] = out
-    return out
-
-
-def load_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
-    """Fixture inputs: tables (default) or lazy views (COHORTLIFT_FIXTURES=views)."""
-    import os
-
-    if os.environ.get("COHORTLIFT_FIXTURES", "tables") == "views":
-        return view_inputs(spark, sf_dir, params)
-    return table_inputs(spark, sf_dir, params)

@@ -1,6 +1,7 @@
 """Explicit schemas of the analysis's input tables (only the columns used).
 
 Column names are lower-case versions of the reference's warehouse columns.
+Profile and household ids keep the type their source has (``_ANY``).
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+_ANY = T.NullType()
 
 HOLDOUT_BACKFILL = T.StructType([
     T.StructField("identity_value", _S),
@@ -20,13 +22,13 @@ AUDIENCE_LIST = T.StructType([
 ])
 
 CUSTOMER_KEYS = T.StructType([
-    T.StructField("profileid", _L),
+    T.StructField("profileid", _ANY),
     T.StructField("externalprofilerid", _S),
     T.StructField("partnerorsystemid", _S),
 ])
 
 ACCOUNT_VIEW = T.StructType([
-    T.StructField("householdid", _L),
+    T.StructField("householdid", _ANY),
     T.StructField("targetedoptindate", T.TimestampType()),
 ])
 
@@ -84,4 +86,5 @@ def conform(df, schema: T.StructType):
     """Select and cast a DataFrame's columns to ``schema`` (by name)."""
     from pyspark.sql import functions as F
 
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select([
+        F.col(f.name) if f.dataType == _ANY else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -24,21 +24,9 @@ INPUT_SCHEMAS = {
 }
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables.
-
-    The DataFrame is memoised per session and path: the driver's tables are
-    read-only, so the file listing and footer reads happen once per process.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (str(id(spark)), path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """One of the driver's parquet tables, as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_source(spark: SparkSession, location: str, name: str) -> DataFrame:
@@ -59,8 +47,8 @@ def read_inputs(spark: SparkSession, locations: dict[str, str], params=None):
     """Build ``Inputs`` from {input name: location}.
 
     Without a ``daily_last_view_status`` location the status table is derived
-    from the plays by the ``daily_last_view`` operator over
-    [params.dlv_start, params.dlv_end].
+    from the plays by the ``daily_last_view`` operator, from the launch to the
+    end of the reports.
     """
     from ..operators.lapse import daily_last_view
     from ..params import Params

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,13 +11,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cohortlift.session import build_session
 
     s = build_session("local[*]", shuffle_partitions=8, app="cohortlift-tests")
     # tests only: a scratch checkpoint folder where the session names none
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="cohortlift-test-ckpt-")
+        d = str(tmp_path_factory.mktemp("checkpoints"))
         s.conf.set("spark.checkpoint.dir", d)
         s.sparkContext.setCheckpointDir(d)
     yield s

@@ -53,15 +53,15 @@ def test_holdout_users_keeps_join_multiplicity(spark):
     hold = _holdouts(spark, [("mp1", "holdoutgroup_control"), ("mp2", "holdoutgroup_paidsoc"),
                              ("mp3", "holdoutgroup_control")])
     sig = _signup(spark, [(1, OLD), (2, OLD), (3, NEW)])
-    got = Counter(tuple(r) for r in A.holdout_users(ckm, hold, sig, P).collect())
+    got = Counter(tuple(r) for r in A.expanded(A.holdout_users(ckm, hold, sig, P)).collect())
     # 2 x 2 mapping matches for mp1, times 2 tracking ids
     assert got[(1, "mp1", "holdoutgroup_control", "aid1", OLD)] == 4
     assert got[(1, "mp1", "holdoutgroup_control", "aid1b", OLD)] == 4
     assert got[(2, "mp2", "holdoutgroup_paidsoc", None, OLD)] == 1
     assert sum(got.values()) == 9
-    # dedupe mode makes no copies: 2 mapping rows x 2 tracking ids, plus mp2
-    deduped = A.holdout_users(ckm, hold, sig, P.replace(dedupe_audience=True))
-    assert deduped.count() == 5 and deduped.distinct().count() == 3
+    # dedupe mode makes no copies
+    deduped = A.expanded(A.holdout_users(ckm, hold, sig, P.replace(dedupe_audience=True)))
+    assert deduped.count() == 3 and deduped.distinct().count() == 3
 
 
 def test_targetables_and_braze_label(spark):
@@ -125,9 +125,30 @@ def test_hot_external_id_fan_out(spark):
     ckm = _ckm(spark, rows)
     hold = _holdouts(spark, [("mpHOT", "holdoutgroup_control"), ("mpHOT", "holdoutgroup_paiddis")])
     sig = _signup(spark, [(p, OLD) for p in range(k)])
-    got = Counter((r.profileid, r.audiencecohort) for r in A.holdout_users(ckm, hold, sig, P).collect())
+    got = Counter((r.profileid, r.audiencecohort) for r in A.expanded(A.holdout_users(ckm, hold, sig, P)).collect())
     # the reference's self-join: each of the k mapping rows meets all k rows of the id, per label
     assert sum(got.values()) == k * k * 2
     assert set(got.values()) == {k}
     deduped = A.holdout_users(ckm, hold, sig, P.replace(dedupe_audience=True))
     assert deduped.count() == k * 2 and deduped.distinct().count() == k * 2
+
+
+def test_hot_external_id_reaches_the_kpis_unexpanded(spark):
+    """One id on 100,000 mapping rows: k x k counts as a weight all the way to the sums."""
+    from cohortlift.operators import engagement as E
+    from cohortlift.operators import tenure as TN
+
+    k = 100_000
+    mapping = spark.range(k).selectExpr("0L AS profileid", "'mpHOT' AS externalprofilerid", "'mparticle' AS partnerorsystemid")
+    ckm = mapping.union(_ckm(spark, [(0, "aid0", "trackingid")]))
+    users = A.holdout_users(ckm, _holdouts(spark, [("mpHOT", "holdoutgroup_control")]), _signup(spark, [(0, OLD)]), P)
+    assert [tuple(r) for r in users.select("aid", "copies").collect()] == [("aid0", k * k)]
+    none = spark.createDataFrame([], "profileid long, aid string, audiencecohort string")
+    audience = A.audience_signup(A.all_audience(users, none, P), _signup(spark, [(0, OLD)]))
+    plays = spark.createDataFrame(
+        [("aid0", dt.datetime(2020, 12, 3), dt.date(2020, 12, 3), "LONG", "p", 1, 1, 36.0)] * 2,
+        "adobe_tracking_id string, adobe_timestamp timestamp_ntz, adobe_date date, consumption_type string, "
+        "program string, num_views_started int, num_views_completed int, num_seconds_played_no_ads double")
+    r = E.cohort_kpis(plays, TN.tenure_classification(audience, P), P).first()
+    assert (r.conversions_watched_video, r.audience_size, r.all_starts, r.repertoire) == (1, 1, 2 * k * k, 1.0)
+    assert r.usage == pytest.approx(2 * k * k / 100)

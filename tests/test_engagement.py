@@ -39,9 +39,7 @@ def test_viewer_stats_and_kpis(spark):
     assert a.distinct_titles == 2  # shortform + p3
     # duplicated audience row doubles the sums (as the reference's join does)
     assert (a.content_starts, a.content_completed, a.total_hours) == (6, 2, 6.0)
-    k = E.cohort_kpis(E.viewer_stats(plays, aud, P), spark.createDataFrame(
-        [("holdoutgroup_control", "THREE_PLUS_MONTHS", 3)],
-        "audiencecohort string, tenure_classification string, audience_size long")).first()
+    k = E.cohort_kpis(plays, aud, P).first()
     assert k.conversions_watched_video == 2 and k.audience_size == 3
     assert k.repertoire == pytest.approx(1.5) and k.avg_starts == pytest.approx(3.5)
     assert k.usage == pytest.approx((6.0 + 0.5) / 2) and k.avg_completion_rate == pytest.approx(3 / 7)
@@ -52,7 +50,7 @@ def test_single_viewer_group_has_null_stddev(spark):
     t = dt.datetime
     plays = spark.createDataFrame([_play("a", t(2020, 12, 3), "LONG", "p1")], V)
     aud = spark.createDataFrame([("a", 1, "x", None, None)], C)
-    k = E.cohort_kpis(E.viewer_stats(plays, aud, P)).first()
+    k = E.cohort_kpis(plays, aud, P).first()
     assert k.tenure_classification is None  # the NULL group is kept
     assert k.repertoire_stddev is None and k.usage_stdv is None
 
@@ -85,3 +83,23 @@ def test_hot_viewer_totals_match_row_level_join(spark):
                   prev[3] + sum(r[7] for r in mine) / 3600)
     exp = {a: (v[0], v[1], v[2], round(v[3], 9)) for a, v in exp.items() if v[1] > 0}
     assert got == exp
+
+
+def test_play_date_that_is_not_the_timestamps(spark):
+    """The window is on the timestamp alone, unless pruning on the date is asked for."""
+    t = dt.datetime
+    plays = spark.createDataFrame([
+        ("a", t(2020, 12, 1, 1), dt.date(2020, 11, 30), "LONG", "p1", 1, 0, 60.0),
+        ("a", t(2020, 12, 5), dt.date(2020, 12, 5), "LONG", "p2", 1, 0, 60.0),
+    ], V)
+    aud = spark.createDataFrame([("a", 1, "x", None, None)], C)
+    assert E.viewer_stats(plays, aud, P).first().content_starts == 2
+    assert E.viewer_stats(plays, aud, P.replace(prune_on_play_date=True)).first().content_starts == 1
+
+
+def test_null_aids_and_groups_without_viewers(spark):
+    plays = spark.createDataFrame([_play("a", dt.datetime(2020, 12, 3), "LONG", "p1")], V)
+    aud = spark.createDataFrame([("a", 1, "x", None, "T"), (None, 2, "x", None, "T"), ("b", 3, "x", None, "T"),
+                                 ("b", 3, "x", None, "T"), ("c", 4, "y", None, "T")], C)
+    got = [(r.audiencecohort, r.conversions_watched_video, r.audience_size) for r in E.cohort_kpis(plays, aud, P).collect()]
+    assert got == [("x", 1, 2)]

@@ -11,8 +11,7 @@ from cohortlift.params import Params
 D = dt.date
 P = Params(save_report_start=D(2020, 12, 1), save_report_end=D(2020, 12, 31),
            winback_report_start=D(2020, 12, 1), launch_date=D(2020, 7, 29),
-           save_signup_floor=D(2020, 6, 21), winback_signup_floor=D(2020, 7, 29),
-           dlv_start=D(2020, 10, 1), dlv_end=D(2020, 12, 31))
+           save_signup_floor=D(2020, 6, 21), winback_signup_floor=D(2020, 7, 29))
 V = ("adobe_tracking_id string, adobe_timestamp timestamp_ntz, adobe_date date, consumption_type string, "
      "program string, num_views_started int, num_views_completed int, num_seconds_played_no_ads double")
 DLV = "report_date date, tracking_id string, most_recent_start date"
@@ -51,13 +50,13 @@ def brute_lapsing(dlv, lo_gap, hi_gap, lo, hi, launch):
 def test_daily_last_view_matches_days_times_plays(spark, seed):
     plays = _plays(seed)
     got = {tuple(r) for r in LP.daily_last_view(spark.createDataFrame(plays, V), P).collect()}
-    assert got == brute_dlv(plays, P.dlv_start, P.dlv_end)
+    assert got == brute_dlv(plays, P.status_start, P.status_end)
 
 
 @pytest.mark.parametrize("seed", [4, 5, 6])
 def test_save_and_winback_match_literal_semantics(spark, seed):
     plays = _plays(seed, viewers=8, n=120)
-    dlv = brute_dlv(plays, P.dlv_start, P.dlv_end)
+    dlv = brute_dlv(plays, P.status_start, P.status_end)
     video = spark.createDataFrame(plays, V)
     dlv_df = spark.createDataFrame(sorted(dlv), DLV)
     started = [(p[0], p[2]) for p in plays if p[5] == 1]
@@ -136,7 +135,7 @@ def test_hot_viewer_with_a_third_of_all_plays(spark):
         d = D(2020, 8, 1) + dt.timedelta(days=rnd.randrange(200))
         plays.append(("hot", dt.datetime(d.year, d.month, d.day, 9), d, "X", "p", 1, 0, 60.0))
     video = spark.createDataFrame(plays, V)
-    dlv = brute_dlv(plays, P.dlv_start, P.dlv_end)
+    dlv = brute_dlv(plays, P.status_start, P.status_end)
     assert {tuple(r) for r in LP.daily_last_view(video, P).collect()} == dlv
     dlv_df = spark.createDataFrame(sorted(dlv), DLV)
     started = [(p[0], p[2]) for p in plays if p[5] == 1]

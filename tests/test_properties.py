@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlift.operators.audience import expanded
 from cohortlift.plans.registry import analysis
 from conftest import SMALL
 
@@ -15,9 +16,9 @@ def p(spark):
 
 
 def test_targetable_disjoint_from_its_holdouts(p):
-    from cohortlift.operators.audience import TARGETABLE_EXCLUSIONS
+    from cohortlift.operators.audience import targetable_exclusions
 
-    for c, labels in TARGETABLE_EXCLUSIONS.items():
+    for c, labels in targetable_exclusions(p.p).items():
         t = p.targetable(c)
         h = p.holdout_users.filter(F.col("audiencecohort").isin(*labels))
         assert t.join(h, t.householdid == h.profileid).count() == 0
@@ -34,7 +35,7 @@ def test_starts_add_up(p):
     from cohortlift.operators.engagement import window_plays
 
     kpi = p.cohort_kpis.agg(F.sum("all_starts")).first()[0]
-    aud = p.classification.select("aid", *J)
+    aud = expanded(p.classification).select("aid", *J)
     plays = window_plays(p.i.silver_video, p.p).join(aud, F.col("adobe_tracking_id") == F.col("aid"))
     assert kpi == plays.count()
 

@@ -31,7 +31,7 @@ def test_pairing_skips_missing_arm_and_null_tenure(spark):
     assert [(r.cohort, r.tenure_classification) for r in out] == [("All Paid Media", "A")]
     assert out[0].z < 0 and out[0].saves_significance in ("Yes", "No")
     with pytest.raises(Exception, match="lacks an arm"):
-        SG.z_test(R.labelled(df), "saves", "save_rate_denom", Params(), on_missing_arm="error").collect()
+        SG.z_test(R.labelled(df), "saves", "save_rate_denom", Params(on_missing_arm="error")).collect()
 
 
 def test_zero_saves_both_arms_is_yes(spark):

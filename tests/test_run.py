@@ -1,5 +1,9 @@
 """The production entry point over input tables written from the fixtures."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from cohortlift.operators.audience import expanded
 from cohortlift.params import FIXTURE_PARAMS
 from cohortlift.plans.run import run
 from cohortlift.sources import schemas as S
@@ -25,6 +29,38 @@ def test_run_end_to_end(spark, tmp_path):
     assert read_csv(spark, paths["WinbackRates"], S.WINBACK_RATES).count() == 14
     assert spark.read.parquet(paths["engagement_significance"]).count() == 9
     assert spark.read.parquet(paths["winback_significance"]).count() == 6
+    # every table of the reference's scripts is there
+    import __spark_entry__ as E
+
+    for name in ("targetable_control", "targetable_paidsoc", "targetable_paiddis", "targetable_master"):
+        assert spark.read.parquet(paths[name]).count() == E.queries()[name](spark, SMALL).count()
+    adopter = expanded(spark.read.parquet(paths["adopter_group"]))
+    assert adopter.count() == E.queries()["adopter_group"](spark, SMALL).count()
+    assert "daily_last_view_status" not in paths
+
+
+def test_run_without_status_and_with_options(spark, tmp_path):
+    v = view_inputs(spark, SMALL, FIXTURE_PARAMS)
+    locations = {}
+    for name, df in {**v.backfills, **{n: getattr(v, n) for n in ("audience_list", "customer_keys", "account_view", "silver_video")}}.items():
+        if name == "customer_keys":  # ids of any type
+            df = df.withColumn("profileid", F.concat(F.lit("p"), "profileid"))
+        if name == "account_view":
+            df = df.withColumn("householdid", F.concat(F.lit("p"), "householdid"))
+        locations[name] = str(tmp_path / "in" / name)
+        df.write.parquet(locations[name])
+    paths = run(spark, locations, FIXTURE_PARAMS.replace(tenure_as_of=FIXTURE_PARAMS.as_of), str(tmp_path / "out"))
+    assert spark.read.parquet(paths["daily_last_view_status"]).count() == v.daily_last_view_status.count()
+    assert read_csv(spark, paths["WinbackRates"], S.WINBACK_RATES).count() == 14
+    with pytest.raises(Exception, match="lacks an arm"):
+        run(spark, locations, FIXTURE_PARAMS.replace(on_missing_arm="error"), str(tmp_path / "error"))
+
+
+def test_statistics_are_stored_unrounded(spark):
+    from cohortlift.plans.registry import analysis
+
+    p = [r.p_value for r in analysis(spark, SMALL).conversion_significance().collect() if r.p_value]
+    assert any(round(x, 6) != x for x in p)
 
 
 def test_read_inputs_derives_status_and_lowercases(spark, tmp_path):
