@@ -245,20 +245,27 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
 
     # reversed left contexts of the grams that have several
     def contexts(batches):
-        names = ["gram", "left", "id", "th", "at"]
+        names = ["gram", "left", "id", "th", "at", "whole"]
         for b in batches:
             out = []
             for id_, th, text, values in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 for v in values:
                     at = v["at"]
-                    out.append((v["gram"], text[max(0, at - width + 1) : at][::-1], id_, th, at))
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            columns = list(zip(*out, strict=True)) or [[]] * 5
+                    start = max(0, at - width + 1)
+                    whole = int.from_bytes(hashlib.blake2b(text[start : at + length], digest_size=8).digest(), "little", signed=True)
+                    out.append((v["gram"], text[start:at][::-1], id_, th, at, whole))
+            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            columns = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     def shared_lefts(batches):
         """(id, th, start, end) for every length that an anchor's left context
-        shares with another of its gram; within runs of one gram."""
+        shares with another of its gram; within runs of one gram.
+
+        Anchors whose whole contexts are equal (all bytes that their windows
+        reach) need their longest suffix only, but for one of them, with
+        which others can share less: long periodic texts and copies of
+        documents have very many such anchors."""
         names = ["id", "th", "start", "end"]
         held, first = None, True
         for table in (t for t in runs(batches, ["gram"])):
@@ -289,8 +296,10 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
 
         sweep(range(n), lambda i: i - 1, at_start)
         sweep(range(n - 1, -1, -1), lambda i: i, at_end)
-        out = []
-        for id_, th, at, lengths in zip(*(table.column(c).to_pylist() for c in ("id", "th", "at")), found, strict=True):
+        out, seen = [], set()
+        for k, (id_, th, at, whole) in enumerate(zip(*(table.column(c).to_pylist() for c in ("id", "th", "at", "whole")), strict=True)):
+            lengths = (len(left[k]),) if (len(left[k]), whole) in seen else found[k]
+            seen.add((len(left[k]), whole))
             out += [(id_, th, at - x, at + length) for x in lengths]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = list(zip(*out, strict=True)) or [[]] * 4
@@ -298,7 +307,7 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
 
     mixed = candidates.withColumn("values", F.filter("values", lambda v: v["mixed"])).filter(F.size("values") > 0)
     left = _with_texts(rows, mixed, max_broadcast).select("id", "th", "text", "values")
-    left = left.mapInArrow(contexts, "gram long, left binary, id long, th long, at int")
+    left = left.mapInArrow(contexts, "gram long, left binary, id long, th long, at int, whole long")
     left = left.repartitionByRange("gram", "left", "id", "th", "at").sortWithinPartitions("gram", "left")
     starts = left.mapInArrow(shared_lefts, "id long, th long, start int, end int")
     plain = candidates.select("id", "th", F.explode("values").alias("v")).filter("not v.mixed").select(
