@@ -75,6 +75,8 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Unit rows in double precision, of list values of one length."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.linalg.norm(x, axis=1, keepdims=True)

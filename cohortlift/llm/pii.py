@@ -197,7 +197,7 @@ def _design(kind, vote, size, digits) -> np.ndarray:
     """One column per kind, labeler and vote; and per kind for size and digits."""
     onehot = lambda x, n: np.eye(n)[x]
     own = np.concatenate([onehot(vote[:, k] + 1, 3) for k in range(vote.shape[1])] + [size[:, None] / 7, digits[:, None] / 4, np.ones((len(kind), 1))], 1)
-    return (onehot(kind, len(KINDS))[:, :, None] * own[:, None]).reshape(len(kind), -1)
+    return (onehot(kind, len(KINDS))[:, :, None] * own[:, None]).reshape(len(kind), len(KINDS) * own.shape[1])
 
 
 def train(x: np.ndarray, p: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:

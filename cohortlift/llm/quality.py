@@ -151,7 +151,7 @@ def _site(column: Column | str) -> Column:
 def _with_evidence(df: DataFrame, linear: Linear) -> DataFrame:
     def run(batches):
         for b in batches:
-            x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, N_FEATURES)
             columns = [b.column(k) for k in ("doc_id", "host", "path")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(linear.evidence(x))], names=["doc_id", "host", "path", "evidence"])
 
@@ -170,8 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, host="source", path="lang", max_labe
     known = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
     sample = features.select("doc_id", "features").join(known, "doc_id")
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_labelled).select("features", "y").toArrow()
-    x = sample.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(sample.num_rows, -1)
-    linear = fit_linear(x if sample.num_rows else np.zeros((0, N_FEATURES)), (sample.column("y").to_numpy() > 0.5).astype(float))
+    x = sample.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(sample.num_rows, N_FEATURES)
+    linear = fit_linear(x, (sample.column("y").to_numpy() > 0.5).astype(float))
     share = 1 / (1 + np.exp(-linear.prior))
     p = _sigmoid(F.col("evidence") + F.lit(float(np.log(share / (1 - share)))))
     paths = written(
