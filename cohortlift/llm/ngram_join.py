@@ -195,7 +195,8 @@ def join(
     each = member.withColumn("mine", F.pmod(F.xxhash64("class"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     text = rows.filter("doc_id is not null").withColumnRenamed("doc_id", "rep")
-    each = each.join(text, "rep").withColumn("other", other)
+    # by shuffle at any size: the documents in question grow with all documents
+    each = each.join(text.hint("merge"), "rep").withColumn("other", other)
     each = each.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "class", "rep", "weight", "text")
     each = each.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
     found = written(each.mapInArrow(verify, "class binary, links long, a long, b long"), "links")
@@ -227,7 +228,7 @@ def keep(docs: DataFrame, **kw) -> DataFrame:
     without doc_id stay, a repeated row of a kept document goes."""
     kept = join(docs, **kw).filter("kept").select(F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
-    stay = rows.filter("id is not null").join(kept, "id", "left_semi").dropDuplicates(["id", "text"])
+    stay = rows.filter("id is not null").join(kept.hint("merge"), "id", "left_semi").dropDuplicates(["id", "text"])
     out = stay.unionByName(rows.filter("id is null"))
     return out.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
