@@ -1,14 +1,15 @@
 """Each stage of the pipeline against brute force on its own input."""
 
+import hashlib
 import zlib
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import pytest
+from cohortlift.llm import decontam, line_dedup, ngram_join
 from cohortlift.llm.common import written
-from test_joins import sets
 from test_packing import reference_ids
-from test_scans import lines_brute, overlap_brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,28 +33,30 @@ def test_columns_and_clean_documents(stages, spark):
     assert not set(labels[labels.quality == 0].doc_id) & set(frames[1].doc_id)
 
 
+def duck(sql, **tables):
+    con = duckdb.connect()
+    for name, frame in tables.items():
+        con.register(name, frame)
+    return con.execute(sql).df()
+
+
 def test_lines(stages):
-    before, after = stages[0][1].sort_values("doc_id"), stages[0][2].sort_values("doc_id")
-    assert after.text.tolist() == lines_brute(before.text.tolist())
+    before, after = stages[0][1], stages[0][2].sort_values("doc_id")
+    want = duck(line_dedup.dedup_sql(), documents=before).sort_values("doc_id")
+    assert [hashlib.sha256(t.encode()).hexdigest() for t in after.text] == want.text_sha256.tolist()
     assert after.n_chars.tolist() == after.text.str.len().tolist()
 
 
 def test_one_of_each_group(stages):
     before, after = stages[0][2], stages[0][3]
-    s = {d: sets(t) for d, t in zip(before.doc_id, before.text)}
-    low = {d: d for d in s}
-    for _ in range(20):
-        for a in s:
-            for b in s:
-                if len(s[a] & s[b]) / len(s[a] | s[b]) >= 0.8:
-                    low[a] = min(low[a], low[b])
-    assert set(after.doc_id) == {d for d in s if low[d] == d} and after.doc_id.is_unique
+    want = duck(ngram_join.join_sql(), documents=before)
+    assert set(after.doc_id) == set(want[want.kept].doc_id) and after.doc_id.is_unique
 
 
 def test_contaminated_go(stages, spark):
     before, after = stages[0][3], stages[0][4]
-    items = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas().text.tolist()
-    bad = {before.doc_id.iloc[d] for d, _ in overlap_brute(before.text.tolist(), items)}
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()
+    bad = set(duck(decontam.overlaps_sql(), documents=before, benchmark=items).doc_id)
     assert set(after.doc_id) == set(before.doc_id) - bad and bad
 
 
