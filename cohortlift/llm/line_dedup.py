@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 EDITS, MIN_CHARS, MIN_NEAR = 2, 10, 30
-#: Letters whose counts are compared before the distance; any eight would be right.
-LETTERS = "etnriaos"
+#: Letters whose counts are compared before the distance; any sixteen would be right.
+LETTERS = "etnriaosldhucmgb"
 
 
 def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -51,14 +51,12 @@ def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     return out
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
+def index_keys(line: Column, length: Column, edits: int) -> list[Column]:
     """The line's segments, hashed with length and place."""
-    return F.array(
-        *[F.xxhash64(length, F.lit(i), F.substring(line, s, n)) for i, (s, n) in enumerate(segments(length, edits))]
-    )
+    return [F.xxhash64(length, F.lit(i), F.substring(line, s, n)) for i, (s, n) in enumerate(segments(length, edits))]
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
+def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
     """The substrings that can equal a segment of a line as long or shorter:
     shifts are bounded by the edits left of and right of the segment."""
     found = []
@@ -68,22 +66,27 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
             right = edits - i
             for shift in range(max(-i, less - right), min(i, less + right) + 1):
                 found.append(F.xxhash64(other.cast("int"), F.lit(i), F.substring(line, start + shift, size)))
-    return F.array(*found)
+    return found
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts (255 at most) of eight letters in the bytes of a long."""
+    """Counts, modulo 16, of sixteen letters in the half bytes of a long."""
     out = F.lit(0).cast("long")
     for k, c in enumerate(LETTERS):
-        n = F.least(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(255))
-        out = out.bitwiseOR(F.shiftleft(n.cast("long"), 8 * k))
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(15)), 4 * k))
     return out
 
 
 def letters_close(a: Column, b: Column, edits: int) -> Column:
-    """An edit changes the counts by two in all at most."""
-    byte = lambda x, k: F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(255))
-    return sum((F.abs(byte(a, k) - byte(b, k)) for k in range(len(LETTERS))), F.lit(0)) <= 2 * edits
+    """An edit changes the counts by two in all at most; round the clock of 16,
+    no distance is longer than the true one."""
+    found = F.lit(0)
+    count = lambda x, k: F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15))
+    for k in range(len(LETTERS)):
+        d = (count(a, k) - count(b, k)).bitwiseAND(F.lit(15))
+        found = found + F.least(d, 16 - d)
+    return found <= 2 * edits
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -139,11 +142,14 @@ def _near_firsts(docs: DataFrame, edits: int, min_near: int, max_broadcast: int)
     """(doc_id, line_no) of first occurrences within the distance of an earlier line."""
     long = _lines(docs).select("line").withColumn("n", F.length("line")).filter(F.col("n") >= min_near)
     line, n = F.col("line"), F.col("n")
-    keyed = long.select(F.xxhash64("line").alias("id"), letter_counts(line).alias("letters"), line, n)
-    index = keyed.select("id", "letters", F.explode(index_keys(line, n, edits)).alias("key"))
-    probe = keyed.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), F.explode(probe_keys(line, n, edits)).alias("key"))
-    # equal lines are one row per key
-    index, probe = index.distinct(), probe.distinct()
+    index, probe = index_keys(line, n, edits), probe_keys(line, n, edits)
+    # one row per different line, partially aggregated; its keys are plain columns, so that hashing aggregates them
+    keys = [k.alias(f"k{i}") for i, k in enumerate([*index, *probe])]
+    keyed = long.select(F.xxhash64("line").alias("id"), letter_counts(line).alias("letters"), *keys)
+    keyed = keyed.groupBy("id").agg(*[F.first(c).alias(c) for c in keyed.columns[1:]])
+    at = F.array(*[f"k{i}" for i in range(len(index))]), F.array(*[f"k{i}" for i in range(len(index), len(keys))])
+    index = keyed.select("id", "letters", F.explode(at[0]).alias("key"))
+    probe = keyed.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), F.explode(at[1]).alias("key"))
     pair = index.join(probe, "key").filter((F.col("id") != F.col("id2")) & letters_close(F.col("letters"), F.col("letters2"), edits))
     pair = pair.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
     pair = written(pair, "line_pairs")
