@@ -10,9 +10,9 @@ have equal anchors at equal places. Anchors whose gram occurs once in the
 corpus are dropped: their windows cannot repeat. For two anchors with the same
 gram that agree on exactly l bytes to the left (at most the window's reach),
 the suffixes l bytes before them hold every window they share; so an anchor
-contributes the suffix at each such l. If all anchors of a gram have the
-same left context, that is one suffix each; else the l come from sorting
-the reversed left contexts.
+contributes the suffix at each such l, if with what is shared to the right it
+makes ``length``. If all anchors of a gram have the same left context, that is
+one suffix each; else the l come from sorting the reversed left contexts.
 
 How they are sorted. Tasks sort their suffixes into runs and front-code them
 (length of the prefix shared with the one before, and the rest); runs are cut
@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from .common import polynomial, runs, text_of, written
 
 SLICE_BYTES = 2 << 20
-RUN_BYTES = 96 << 20
+RUN_BYTES = 32 << 20
 SPLITTER = 24
 NO_ID = -(1 << 63)
 
@@ -204,6 +204,71 @@ def merge(streams: list[tuple[list[int], list[bytes]]]):
             node //= 2
 
 
+def shared_lengths(left: list[bytes], right: list[int], lcp: list[int], cut: bool, back: bool) -> list[set[int]]:
+    """For each of a gram's anchors, in the order of left contexts (or ``back``
+    wards), the distinct lengths it shares with those before it, of which only
+    the nearest of each right context counts, and none beyond the nearest with
+    its own.
+
+    That is enough: of three in order, the middle one shares at least as much to
+    the left with either end as they share with each other; so where its right
+    context is that of one of them, it can stand for that one. Lengths are
+    running minima of neighbours' common prefixes, kept on a stack with the
+    first position each holds for and how many of its positions count. At a
+    ``cut`` anchors may lie beyond the first: any length up to that shared with
+    it is taken.
+    """
+    n = len(left)
+    order = range(n - 1, -1, -1) if back else range(n)
+    values, starts, live = [], [], []
+    if cut:
+        m = len(left[order[0]]) + 1
+        values, starts, live = list(range(m)), [-1] * m, [1] * m
+    last: dict[int, int] = {}
+    out = []
+    for step, i in enumerate(order):
+        if step:
+            before = right[order[step - 1]]
+            if (old := last.get(before)) is not None:
+                live[bisect.bisect_right(starts, old) - 1] -= 1
+            last[before] = step - 1
+            c, start, count = lcp[i if back else i - 1], step - 1, 1
+            while values and values[-1] >= c:
+                values.pop()
+                start = starts.pop()
+                count += live.pop()
+            values.append(c)
+            starts.append(start)
+            live.append(count)
+        nearest = last.get(right[i], -2)
+        own = set()
+        for k in range(len(values) - 1, -1, -1):
+            if live[k]:
+                own.add(values[k])
+            if starts[k] <= nearest:
+                break
+        out.append(own)
+    return out
+
+
+def shared_rights(rights: list[list[int]], ladder: list[int], length: int) -> list[int]:
+    """At most how many bytes each anchor shares to the right with any other of its gram."""
+    out = [length] * len(rights)
+    for k in range(len(ladder) - 1, -1, -1):
+        count: dict[int, int] = {}
+        for r in rights:
+            count[r[k]] = count.get(r[k], 0) + 1
+        out = [o if count[r[k]] > 1 else ladder[k] - 1 for o, r in zip(out, rights, strict=True)]
+    return out
+
+
+def small(batches, rows: int = 512):
+    """The same rows in batches that stay small as Python objects."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def _per_doc(df: DataFrame, value) -> DataFrame:
     return df.groupBy("id", "th").agg(F.collect_list(value).alias("values"))
 
@@ -226,7 +291,7 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
     )
 
     def anchors(batches):
-        for b in batches:
+        for b in small(batches, 2048):
             found = anchors_of(b.column(2).to_pylist(), length, gram)
             offsets = pa.array(np.r_[0, np.cumsum([len(p) for p, _, _ in found])], pa.int32())
             lists = [
@@ -243,71 +308,53 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
     candidates = each.select("id", "th", "at", "gram").join(grams, "gram")
     candidates = written(_per_doc(candidates, F.struct("at", "gram", "mixed")), "candidates")
 
+    # right contexts are hashed at several lengths, the last one whole
+    ladder = sorted({length, *range(gram + (length - gram) // 6, length, max(1, (length - gram) // 6))})
+
     # reversed left contexts of the grams that have several
     def contexts(batches):
-        names = ["gram", "left", "id", "th", "at", "whole"]
-        for b in batches:
+        from xxhash import xxh3_64_intdigest
+
+        names = ["gram", "left", "id", "th", "at", "rights"]
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+        for b in small(batches):
             out = []
             for id_, th, text, values in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 for v in values:
                     at = v["at"]
-                    start = max(0, at - width + 1)
-                    whole = int.from_bytes(hashlib.blake2b(text[start : at + length], digest_size=8).digest(), "little", signed=True)
-                    out.append((v["gram"], text[start:at][::-1], id_, th, at, whole))
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-            columns = list(zip(*out, strict=True)) or [[]] * 6
+                    rights = [xxh3_64_intdigest(text[at : at + n]) - (1 << 63) for n in ladder]
+                    out.append((v["gram"], text[max(0, at - width + 1) : at][::-1], id_, th, at, rights))
+            columns = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     def shared_lefts(batches):
-        """(id, th, start, end) for every length that an anchor's left context
-        shares with another of its gram; within runs of one gram.
-
-        Anchors whose whole contexts are equal (all bytes that their windows
-        reach) need their longest suffix only, but for one of them, with
-        which others can share less: long periodic texts and copies of
-        documents have very many such anchors."""
-        names = ["id", "th", "start", "end"]
+        """(id, th, start, end) for lengths that an anchor's left context shares
+        with others of its gram; within runs of one gram, sorted by left context."""
         held, first = None, True
-        for table in (t for t in runs(batches, ["gram"])):
+        for table in runs(batches, ["gram"]):
             if held is not None:
-                yield lefts(held, first, False, names)
+                yield lefts(held, first, False)
                 first = False
             held = table
         if held is not None:
-            yield lefts(held, first, True, names)
+            yield lefts(held, first, True)
 
-    def lefts(table, at_start, at_end, names):
-        left = table.column("left").to_pylist()
-        n = len(left)
+    def lefts(table, at_start, at_end):
+        left, rights = table.column("left").to_pylist(), table.column("rights").to_pylist()
+        n, right = len(left), [r[-1] for r in rights]
+        reach = [length] * n if at_start or at_end else shared_rights(rights, ladder, length)
         lcp = [common(a, b, 0) for a, b in zip(left, left[1:], strict=False)]
-        found = [set() for _ in range(n)]
-
-        def sweep(order, between, cut):
-            # distinct running minima of the common prefixes on one side
-            stack = list(range(len(left[order[0]]) + 1)) if cut else []  # beyond the cut, any length up to that shared with it
-            for step, i in enumerate(order):
-                if step:
-                    c = lcp[between(i)]
-                    while stack and stack[-1] > c:
-                        stack.pop()
-                    if not stack or stack[-1] != c:
-                        stack.append(c)
-                found[i].update(stack)
-
-        sweep(range(n), lambda i: i - 1, at_start)
-        sweep(range(n - 1, -1, -1), lambda i: i, at_end)
-        out, seen = [], set()
-        for k, (id_, th, at, whole) in enumerate(zip(*(table.column(c).to_pylist() for c in ("id", "th", "at", "whole")), strict=True)):
-            lengths = (len(left[k]),) if (len(left[k]), whole) in seen else found[k]
-            seen.add((len(left[k]), whole))
-            out += [(id_, th, at - x, at + length) for x in lengths]
+        found = [shared_lengths(left, right, lcp, at_start, False), shared_lengths(left, right, lcp, at_end, True)]
+        out = []
+        for k, (id_, th, at) in enumerate(zip(*(table.column(c).to_pylist() for c in ("id", "th", "at")), strict=True)):
+            out += [(id_, th, at - x, at + length) for x in found[0][k] | found[1][n - 1 - k] if x + reach[k] >= length]
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "th", "start", "end"])
 
     mixed = candidates.withColumn("values", F.filter("values", lambda v: v["mixed"])).filter(F.size("values") > 0)
     left = _with_texts(rows, mixed, max_broadcast).select("id", "th", "text", "values")
-    left = left.mapInArrow(contexts, "gram long, left binary, id long, th long, at int, whole long")
+    left = left.mapInArrow(contexts, "gram long, left binary, id long, th long, at int, rights array<long>")
     left = left.repartitionByRange("gram", "left", "id", "th", "at").sortWithinPartitions("gram", "left")
     starts = left.mapInArrow(shared_lefts, "id long, th long, start int, end int")
     plain = candidates.select("id", "th", F.explode("values").alias("v")).filter("not v.mixed").select(
@@ -318,7 +365,7 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
     ranges = max(1, -(-total // entries))
 
     def sample(batches):
-        for b in batches:
+        for b in small(batches):
             out = [t[v["start"] : v["start"] + SPLITTER] for t, vs in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True) for v in vs[:64]]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["s"])
 
@@ -341,7 +388,7 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([TaskContext.get().partitionId() << 24 | run], pa.int64()), pa.array([block], pa.binary())], names=names)
                 at = upto
 
-        for b in batches:
+        for b in small(batches):
             for id_, th, text, values in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 longest = {}
                 for v in values:  # a place is one suffix
@@ -397,7 +444,7 @@ def _removed(docs: DataFrame, spans: DataFrame, max_broadcast: int, hashed: bool
     )
 
     def cut(batches):
-        for b in batches:
+        for b in small(batches):
             out = []
             for id_, th, text, values in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 kept, at, removed, n = [], 0, 0, 0
