@@ -59,6 +59,13 @@ def batches(columns: dict, schema, rows: int = 20_000):
     yield from table.to_batches(max_chunksize=rows)
 
 
+def small(batches, rows: int = 512):
+    """The same rows in batches that stay small as Python objects."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 class Polynomial:
     """Hashes of byte ranges of one buffer, by prefix sums of a polynomial modulo 2^64.
 
@@ -102,7 +109,7 @@ def polynomial(size: int) -> Polynomial:
     """The worker's Polynomial for buffers of at least ``size`` bytes."""
     cache = worker_cache("polynomial")
     if "p" not in cache or cache["p"].size < size:
-        cache["p"] = Polynomial(max(size, 1 << 22))
+        cache["p"] = Polynomial(max(size, 1 << 20))
     return cache["p"]
 
 

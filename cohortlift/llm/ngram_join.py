@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import polynomial, runs, text_of, written
+from .common import polynomial, runs, small, text_of, written
 from .components import components, local_components
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 900 << 10
 
 
 def shingles(texts: list[str], words: int) -> list[np.ndarray]:
@@ -138,7 +138,7 @@ def join(
     levels = depth(trees, max_depth, threshold, recall)
 
     def label(batches):
-        for b in batches:
+        for b in small(batches, 2048):
             sets = shingles(b.column(1).to_pylist(), words)
             lists = pa.FixedSizeListArray.from_arrays(pa.array(labels(sets, trees, levels, seed).ravel()), trees)
             yield pa.RecordBatch.from_arrays(

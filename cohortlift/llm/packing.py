@@ -35,7 +35,7 @@ from .common import text_of, worker_cache, written
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 PUNCTUATION = ".,;:!?"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000
 SLICE_CHARS = 1 << 20
 ID_BYTES = functools.partial(array.array, "I")
 LOWER_BY_CONTEXT = set("\u0130\u03a3")  # letters that str.lower does not lower one by one

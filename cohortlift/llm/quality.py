@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import small, text_of, written
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 CLASSES = ["other", "lower", "upper", "digit", "blank", "newline", "stop", "exclamation", "bar", "symbol", "wide"]
 #: Byte classes; bytes from 128 on belong to letters outside ASCII here.
 CLASS_OF = np.zeros(256, np.uint8)
@@ -160,7 +160,7 @@ def _with_evidence(df: DataFrame, linear: Linear) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, host="source", path="lang", max_labelled: int = 20_000) -> Quality:
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             x = features_of(b.column(3).to_pylist())
             lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), lists], names=["doc_id", "host", "path", "features"])
@@ -210,7 +210,7 @@ def keep(docs: DataFrame, labels: DataFrame, host="source", path="lang", thresho
     schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(fields)) + ", host string, path string, evidence double"
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts = [t or "" for t in b.column(at).to_pylist()]
             e = linear.evidence(features_of(texts))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(e)], names=[*b.schema.names, "evidence"])

@@ -49,9 +49,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import polynomial, runs, text_of, written
+from .common import polynomial, runs, small, text_of, written
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 900 << 10
 RUN_BYTES = 32 << 20
 SPLITTER = 24
 NO_ID = -(1 << 63)
@@ -262,13 +262,6 @@ def shared_rights(rights: list[list[int]], ladder: list[int], length: int) -> li
     return out
 
 
-def small(batches, rows: int = 512):
-    """The same rows in batches that stay small as Python objects."""
-    for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
-
-
 def _per_doc(df: DataFrame, value) -> DataFrame:
     return df.groupBy("id", "th").agg(F.collect_list(value).alias("values"))
 
