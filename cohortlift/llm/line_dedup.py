@@ -147,9 +147,10 @@ def _near_firsts(docs: DataFrame, edits: int, min_near: int, max_broadcast: int)
     keys = [k.alias(f"k{i}") for i, k in enumerate([*index, *probe])]
     keyed = long.select(F.xxhash64("line").alias("id"), letter_counts(line).alias("letters"), *keys)
     keyed = keyed.groupBy("id").agg(*[F.first(c).alias(c) for c in keyed.columns[1:]])
-    at = F.array(*[f"k{i}" for i in range(len(index))]), F.array(*[f"k{i}" for i in range(len(index), len(keys))])
-    index = keyed.select("id", "letters", F.explode(at[0]).alias("key"))
-    probe = keyed.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), F.explode(at[1]).alias("key"))
+    # one array of all keys, so that both sides need the same columns and share that shuffle
+    keyed = keyed.select("id", "letters", F.array(*[f"k{i}" for i in range(len(keys))]).alias("keys"))
+    index = keyed.select("id", "letters", F.explode(F.slice("keys", 1, len(index))).alias("key"))
+    probe = keyed.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), F.explode(F.slice("keys", edits + 2, len(probe))).alias("key"))
     pair = index.join(probe, "key").filter((F.col("id") != F.col("id2")) & letters_close(F.col("letters"), F.col("letters2"), edits))
     pair = pair.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
     pair = written(pair, "line_pairs")
