@@ -5,6 +5,11 @@ A tree splits recursively at a random direction; vectors near the split (the
 compared within the leaves of every tree by exact cosine in double precision,
 links are united to components.
 
+A node whose links are not short against its spread (a hot cluster of distinct
+near vectors) would lose some of them at every split: it is cut elsewhere, with
+a wider spill, or stays a leaf, however many vectors it holds, so recall does not
+fall with depth.
+
 The trees are fitted on a bounded sample (``sample`` distinct vectors, the
 smallest by hash), every vector is routed through them. Depth follows the
 number of distinct vectors up to ``max_depth``, so the trees that tasks receive
@@ -26,6 +31,8 @@ an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,24 +42,43 @@ from .common import written
 from .components import components, local_components
 
 
+#: Widest spill; recall aimed at for links at the threshold; sample rows that a split needs, and that its lost links
+#: are counted on; shares to cut a node at, and further directions to try where none will do.
+WIDEST, RECALL, LEAST, COUNTED = 0.15, 0.98, 16, 512
+CUTS, TRIES = (0.5, 0.35, 0.65, 0.25, 0.75), 8
+
+
 class Forest:
-    """Random directions and spill limits, by tree and node (complete binary trees)."""
+    """Random directions and spill limits, by tree and node (complete binary trees); a node with ``stop`` is a leaf.
 
-    def __init__(self, sample: np.ndarray, trees: int, depth: int, spill: float, seed: int):
+    A split may lose ``loss`` of the links, so that ``RECALL`` is left after ``depth`` splits in ``trees`` trees. Where
+    the node's links are too long against its spread for that, the spill is widened, the cut or the direction changed,
+    and if nothing helps the node is not split.
+    """
+
+    def __init__(self, sample: np.ndarray, trees: int, depth: int, spill: float, seed: int, threshold: float = 0.9):
         rng = np.random.default_rng(seed)
         dim = sample.shape[1] if sample.ndim == 2 else 0
         self.depth, self.trees = depth, trees
         self.directions = rng.standard_normal((trees, 2**depth - 1, dim))
         self.low = np.zeros((trees, 2**depth - 1))
         self.high = np.zeros((trees, 2**depth - 1))
+        self.stop = np.ones((trees, 2 ** (depth + 1) - 1), bool)
+        loss = 1 - (1 - (1 - RECALL) ** (1 / trees)) ** (1 / max(1, depth))
         for t in range(trees):
             rows, nodes = np.arange(len(sample)), np.zeros(len(sample), np.int64)
             for level in range(depth):
-                at = (sample[rows] * self.directions[t, nodes]).sum(1)
-                for node in range(2**level - 1, 2 ** (level + 1) - 1):
-                    if len(own := at[nodes == node]):
-                        self.low[t, node], self.high[t, node] = np.quantile(own, (0.5 - spill, 0.5 + spill))
-                rows, nodes = self._down(t, rows, nodes, at)
+                if not len(rows):
+                    break
+                order = np.argsort(nodes, kind="stable")
+                found, first = np.unique(nodes[order], return_index=True)
+                for node, own in zip(found, np.split(order, first[1:]), strict=True):
+                    if split := _split(sample[rows[own]], self.directions[t, node], rng, spill, threshold, loss):
+                        self.directions[t, node], self.low[t, node], self.high[t, node] = split
+                        self.stop[t, node] = False
+                go = ~self.stop[t, nodes]
+                rows, nodes = rows[go], nodes[go]
+                rows, nodes = self._down(t, rows, nodes, (sample[rows] * self.directions[t, nodes]).sum(1))
 
     def _down(self, t, rows, nodes, at):
         left, right = at <= self.high[t, nodes], at >= self.low[t, nodes]
@@ -63,14 +89,51 @@ class Forest:
         found = []
         for t in range(self.trees):
             rows, nodes = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
-            for _ in range(self.depth):
+            while len(rows):
+                stop = self.stop[t, nodes]
+                found.append((rows[stop], nodes[stop] + t * self.stop.shape[1]))
+                rows, nodes = rows[~stop], nodes[~stop]
                 rows, nodes = self._down(t, rows, nodes, (vectors[rows] * self.directions[t, nodes]).sum(1))
-            found.append((rows, nodes - (2**self.depth - 1) + (t << self.depth)))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         rows, leaf = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.lexsort((leaf, rows))
         return rows[order], leaf[order]
 
 
+def _split(x: np.ndarray, direction: np.ndarray, rng, spill: float, threshold: float, loss: float):
+    """(direction, low, high) with which a split of the rows x loses at most ``loss`` of the links: of those at the
+    threshold, by the density at the cut, and of those among the rows. Of the ``direction``'s cuts, the one
+    that leaves the fewest comparisons; if it has none, of up to ``TRIES`` other directions. None if they have none."""
+    if len(x) < LEAST:
+        return None
+    reach = max(1e-9, math.sqrt(max(0.0, 2 - 2 * threshold)))  # directions are normal, so a link's projection is too
+    some = x[:COUNTED]  # rows lie in order of their hash
+    a, b = np.nonzero(np.triu(some @ some.T >= threshold, 1))
+    shares = sorted({spill, max(spill, (spill + WIDEST) / 2), max(spill, WIDEST)})
+    for k in range(1 + TRIES):
+        if k:
+            direction = rng.standard_normal(x.shape[1])
+        at = x @ direction
+        least, best = 1.0, None
+        for cut in CUTS:
+            for share in shares:
+                if share >= min(cut, 1 - cut) or (left := (cut + share) ** 2 + (1 - cut + share) ** 2) >= least:
+                    continue
+                low, high = np.quantile(at, (cut - share, cut + share))
+                if high <= low:
+                    continue
+                w = (high - low) / reach
+                beyond = 2 * (math.exp(-w * w / 2) / math.sqrt(2 * math.pi) - w * math.erfc(w / math.sqrt(2)) / 2)
+                if beyond * 2 * share / w > loss:
+                    continue
+                if not len(a) or ((np.minimum(at[a], at[b]) < low) & (np.maximum(at[a], at[b]) > high)).mean() <= loss:
+                    least, best = left, (direction, low, high)
+        if best:
+            return best
+    return None
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Unit rows in double precision, of list values of one length."""
     if isinstance(column, pa.ChunkedArray):
@@ -170,7 +233,7 @@ def _within(classes: DataFrame, threshold, trees, spill, leaf, max_depth, sample
     n = classes.count()
     depth = min(max_depth, max(0, int(np.ceil(np.log2(max(1, n / leaf))))))
     fit = classes.select("v").orderBy("class").limit(sample).toArrow()  # the digest is the hash
-    forest = Forest(_matrix(fit.column("v")), trees, depth, spill, seed)
+    forest = Forest(_matrix(fit.column("v")), trees, depth, spill, seed, threshold)
     shared = classes.sparkSession.sparkContext.broadcast(vars(forest))
 
     def route(batches):
@@ -189,7 +252,7 @@ def _within(classes: DataFrame, threshold, trees, spill, leaf, max_depth, sample
     kind = classes.schema["v"].dataType.simpleString()
     routed = written(base.mapInArrow(route, f"class string, rep long, weight long, v {kind}, leaves array<int>"), "routed")
     each = routed.withColumn("leaf", F.explode("leaves"))
-    # at most trees x 2^max_depth leaves
+    # at most trees x 2^max_depth leaves, as a node that is not split has none below it
     sizes = each.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
     each = each.join(F.broadcast(sizes), "leaf")
     each = each.withColumn("mine", F.pmod(F.xxhash64("class"), F.col("blocks")))

@@ -136,3 +136,27 @@ def test_embedding_repeated_ids_and_empty(spark):
     got = sorted(tuple(r) for r in embed_dedup.link_vectors(vectors(spark, rows)).collect())
     assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
     assert embed_dedup.link_vectors(vectors(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("depth", [9, 12])
+def test_embedding_forest_recall_of_a_hot_cluster(depth):
+    rng = np.random.default_rng(depth)
+    base = rng.standard_normal((7000, 64)) / 8
+    hot = base[0] + 0.0355 * rng.standard_normal((6000, 64))
+    x = np.concatenate([hot, base, base + 0.05 * rng.standard_normal((7000, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    forest = embed_dedup.Forest(x[rng.permutation(len(x))], 4, depth, 0.1, 7)
+    rows, leaves = forest.leaves(x)
+    member = np.zeros((len(x), leaves.max() + 1), bool)
+    member[rows, leaves] = True
+
+    def recall(a, b):
+        linked = (x[a] * x[b]).sum(1) >= 0.9
+        return (member[a] & member[b]).any(1)[linked].mean()
+
+    a, b = rng.integers(0, 6000, (2, 10000))
+    assert recall(a[a != b], b[a != b]) >= 0.9
+    k = np.arange(6000, 9000)
+    assert recall(k, k + 7000) >= 0.98
+    # what is not hot is still split
+    assert np.bincount(leaves[rows >= 6000]).max() <= 0.1 * 14000
