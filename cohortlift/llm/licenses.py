@@ -1,9 +1,12 @@
 """License scan by sparse TF-IDF cosine, with directory inheritance; DataFrame operations only.
 
 Every line of a text (a header) and every whole text (a licence file) is compared
-to short template notices by the cosine of TF-IDF vectors. Document frequencies
+to short template notices, and every whole text also to the full licence texts in
+``license_texts``, by the cosine of TF-IDF vectors. Document frequencies
 are counted over all documents; a word outside the templates weighs as much as
-one that no document has, each occurrence by itself.
+one that no document has, each occurrence by itself. Against full texts, n
+occurrences of a word weigh 1 + ln n, so that the many little words of
+long texts do not make them alike; the closest notice or full text is the file's.
 
 A document with a line of cosine ``threshold`` or more has that licence
 ('header', or 'file' if its whole text is that close). Others inherit from the
@@ -13,7 +16,8 @@ directory, its parent, and so on to the root, found by joining paths.
 Scale: texts are read twice (document frequencies, then cosines) and never
 shuffled; a text's units are compared within its row. Texts and lines without a
 telling template word are passed over, which loses nothing: per template the
-words left out have too little weight to reach the threshold together. The
+words left out have too little weight to reach the threshold together; for the
+full texts the telling words are the corpus's rarest. The
 templates are fixed, so what the driver gathers is too. Directories are joined
 by path; a directory with very many documents adds small rows to one side only.
 
@@ -25,9 +29,12 @@ ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
+import zlib
 from collections import Counter
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +65,8 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 WORD = "[a-z0-9]+"
+#: Lists by which a full text's word is found, so that no lookup searches the whole vocabulary.
+LISTS = 1024
 
 
 def template_terms() -> list[tuple[int, str, str, int]]:
@@ -65,6 +74,12 @@ def template_terms() -> list[tuple[int, str, str, int]]:
     return [(k, name, t, n) for k, (name, text) in enumerate(TEMPLATES) for t, n in Counter(re.findall(WORD, text.lower())).items()]
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, whole text)"""
+    found = [x for x in files(__package__).joinpath("license_texts").iterdir() if x.name.endswith(".txt")]
+    return sorted((x.name.removesuffix(".txt"), x.read_text(encoding="utf-8")) for x in found)
+
+
 def words_of(column: Column) -> Column:
     return F.array_remove(F.split(F.lower(column), "[^a-z0-9]+"), "")
 
@@ -98,6 +113,52 @@ def _unit_best(words: Column, known: Column, idf: Column, other: float, weights:
     return once(best, lambda b: F.when(b["d"] <= -threshold, b))
 
 
+def _full_text(idf: dict[str, float], seen: dict[str, int], other: float, threshold: float):
+    """A function from a whole text's words to (-similarity, licence) of the closest full text, or null."""
+    texts = [(name, Counter(re.findall(WORD, text.lower()))) for name, text in full_texts()]
+    weights, telling = [], set()
+    for _, tf in texts:
+        own = {t: (1 + math.log(n)) * idf[t] for t, n in tf.items()}
+        norm = math.sqrt(sum(w * w for w in own.values()))
+        weights.append({t: w / norm for t, w in own.items()})
+        mass = 0.0
+        for t in sorted(own, key=lambda t: (seen.get(t, 0), -weights[-1][t], t)):  # the others cannot reach the threshold together
+            if mass > 1 - 0.999 * threshold**2:
+                break
+            mass += weights[-1][t] ** 2
+            telling.add(t)
+    signal = F.array(*[F.lit(t) for t in sorted(telling)])
+    table = [{} for _ in range(LISTS)]
+    for t in sorted({t for _, tf in texts for t in tf}):
+        table[zlib.crc32(t.encode()) % LISTS][t] = {"idf": idf[t], "w": [w.get(t, 0) for w in weights]}
+    table = F.from_json(F.lit(json.dumps(table)), "array<map<string,struct<idf:double,w:array<double>>>>")  # folded to a constant
+    names = F.array(*[F.lit(name) for name, _ in texts])
+    once = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))  # noqa: E731  value is computed once
+
+    def best(words):
+        starts = lambda s: F.filter(
+            F.transform(s, lambda t, i: F.when((i == 0) | (F.get(s, i - 1) != t), F.struct(t.alias("t"), i.alias("i")))), lambda x: x.isNotNull()
+        )
+        return once(F.array_sort(words), lambda s: once(starts(s), lambda x: counted(x, F.size(s))))
+
+    def counted(starts, size):
+        n = lambda x, i: F.coalesce(F.get(starts, i + 1)["i"], size) - x["i"]
+        entry = lambda t: F.try_element_at(F.get(table, F.pmod(F.crc32(t.cast("binary")), F.lit(LISTS)).cast("int")), t)
+        hits = F.transform(starts, lambda x, i: F.struct(n(x, i).alias("n"), entry(x["t"]).alias("e")))
+        return once(hits, lambda h: closest(F.filter(h, lambda x: x["e"].isNotNull()), F.filter(h, lambda x: x["e"].isNull())))
+
+    def closest(inside, outside):
+        hits = F.transform(inside, lambda h: F.struct(((1 + F.log(h["n"])) * h["e"]["idf"]).alias("x"), h["e"]["w"].alias("w")))
+        rest = F.aggregate(outside, F.lit(0), lambda a, h: a + h["n"]) * F.lit(other * other)
+        return once(hits, lambda h: once(F.sqrt(F.aggregate(h, F.lit(0.0), lambda a, x: a + x["x"] * x["x"]) + rest), lambda n: least(h, n)))
+
+    def least(hits, norm):
+        dot = lambda k: F.aggregate(hits, F.lit(0.0), lambda a, x: a + x["x"] * F.get(x["w"], k))
+        return F.array_min(F.transform(names, lambda name, k: F.struct((-F.round(dot(k) / norm, 6)).alias("d"), name.alias("license"))))
+
+    return lambda words: F.when(F.arrays_overlap(words, signal), once(best(words), lambda b: F.when(b["d"] <= -threshold, b)))
+
+
 def scan(docs: DataFrame, directory: Column, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, directory, license, origin, similarity) of each document of
     (doc_id, text); license is null where none is found."""
@@ -105,12 +166,16 @@ def scan(docs: DataFrame, directory: Column, threshold: float = THRESHOLD) -> Da
     terms = template_terms()
     vocabulary = sorted({t for _, _, t, _ in terms})
     known = F.array(*[F.lit(t) for t in vocabulary])
+    every = sorted({*vocabulary, *(t for _, text in full_texts() for t in re.findall(WORD, text.lower()))})
     # how many documents hold each template word, and how many there are
-    own = docs.select(F.explode(F.concat(F.array_intersect(words_of(text_of()), known), F.array(F.lit("")))).alias("t"))
+    counted = F.array_intersect(words_of(text_of()), F.split(F.lit(" ".join(every)), " "))
+    own = docs.select(F.explode(F.concat(counted, F.array(F.lit("")))).alias("t"))
     count = {r["t"]: r["count"] for r in own.groupBy("t").count().collect()}
     n = count.pop("", 0)
-    idf = {t: math.log((n + 1) / (count.get(t, 0) + 1)) + 1 for t in vocabulary}
+    idf = {t: math.log((n + 1) / (count.get(t, 0) + 1)) + 1 for t in every}
     other = math.log(n + 1) + 1
+    full = _full_text(idf, count, other, threshold)
+    idf = {t: idf[t] for t in vocabulary}
 
     weights, telling = [], set()
     for k, (name, _) in enumerate(TEMPLATES):
@@ -131,9 +196,8 @@ def scan(docs: DataFrame, directory: Column, threshold: float = THRESHOLD) -> Da
     rows = rows.withColumn("words", words_of(F.col("text")))
     told = F.arrays_overlap("words", signal)
     headers = F.transform(F.filter(F.split("text", "\n"), lambda x: F.arrays_overlap(words_of(x), signal)), lambda x: best(words_of(x)))
-    rows = rows.select(
-        "doc_id", "directory", F.when(told, best(F.col("words"))).alias("file"), F.when(told, F.array_min(headers)).alias("header")
-    )
+    file = F.array_min(F.array(F.when(told, best(F.col("words"))), full(F.col("words"))))
+    rows = rows.select("doc_id", "directory", file.alias("file"), F.when(told, F.array_min(headers)).alias("header"))
     rows = written(rows, "licenses")
 
     declared = rows.filter("file is not null").groupBy(F.col("directory").alias("ancestor")).agg(F.min("file").alias("found"))

@@ -165,6 +165,20 @@ def test_root_licence_and_templates(spark):
     assert licence_rows(spark, []) == {}
 
 
+def test_whole_licence_files_are_inherited(spark):
+    prose = "the reader of this file may use it for all the things that are said in the text of the file and in any other work " * 20
+    texts = licenses.full_texts()
+    assert {"AGPL-3.0", "Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "ISC", "MIT"} <= {name for name, _ in texts}
+    rows = [("z", prose), ("", "Copyright")]
+    for name, text in texts:
+        cut = text[: text.index("How to Apply")] if "How to Apply" in text else text  # as projects leave it out, under their own name
+        rows += [(f"p/{name}", "Copyright 2021 Some Company and others\n\n" + cut.replace("  ", " ")), (f"p/{name}/src", prose)]
+    got = licence_rows(spark, rows)
+    assert got[0] == got[1] == (None, None)
+    for k, (name, _) in enumerate(texts):
+        assert (got[2 + 2 * k], got[3 + 2 * k]) == ((name, "file"), (name, "inherited"))
+
+
 # decontamination
 
 
