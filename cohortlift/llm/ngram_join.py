@@ -1,15 +1,17 @@
-"""Near-duplicate documents: Jaccard join of word shingles by a MinHash LSH forest.
+"""Near-duplicate documents: Jaccard join of word shingles by banded MinHash, in place of an LSH forest.
 
 A document's set holds its runs of ``words`` lower-case, blank-separated words
-(all its words, if fewer). Each tree of the forest labels a document by
-``max_depth`` MinHash values; documents that share a label prefix share a trie
-node. Matching starts with whole labels and shortens the prefix level by level
-until a pair at the threshold meets in some tree with probability ``recall``
-(``depth``); nodes at that level contain those of all deeper levels. Candidates
-are then verified exactly on their whole sets.
+(all its words, if fewer). Instead of a forest, whose matched prefixes are
+shortened level by level on the data, each of ``trees`` trees (bands) labels a
+document by one prefix of MinHash values; documents with equal labels share a
+node. ``depth`` computes the prefix length once, from the parameters: the longest
+of up to ``max_depth`` at which a pair at the threshold meets in some tree with
+probability ``recall``. Nodes at that level contain those of all deeper levels, so
+shortening prefixes from ``max_depth`` down to it would find the same pairs.
+Candidates are then verified exactly on their whole sets.
 
 Scale: documents with equal sets are one class with a weight first, so copies
-cost nothing more. A trie node yields a star to its smallest class, never its
+cost nothing more. A node yields a star to its smallest class, never its
 pairs, in two steps (within salts, then between them), so that a node with a
 third of all classes is shared out. Stars make candidate components; a component
 is verified in blocks of about ``block`` classes, each pair of blocks by itself.
@@ -151,7 +153,7 @@ def join(
     classes = written(
         known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("labels").alias("labels")), "classes"
     )
-    # a trie node's star, within salts and then between them
+    # a node's star, within salts and then between them
     node = classes.select(F.explode("labels").alias("node"), "rep")
     node = node.withColumn("low", F.min("rep").over(_window("node", F.pmod(F.xxhash64("rep"), F.lit(salts)))))
     node = written(node.withColumn("size", F.count("*").over(_window("node", F.pmod(F.xxhash64("rep"), F.lit(salts))))), "nodes")
