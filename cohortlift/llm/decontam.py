@@ -2,15 +2,18 @@
 
 A text is its lower-case words (letters and digits). A document overlaps a
 benchmark item if, on some alignment, a window of W words of the item matches
-the document in all but S of its positions (substitutions, no gaps). For items
-of 16 words or more W = 16 and S = 3; shorter items are one window, with fewer
-substitutions.
+the document in all but S of its positions (substitutions, no gaps). Where item
+and document have 16 words or more, W = 16 and S = 3; else the shorter of them
+gives W, with fewer substitutions. A window lies inside the item, but may
+overhang the document's ends; positions it misses there are substitutions.
 
 Candidates come from spaced seeds: fixed masks hash six of the words in a span
 and ignore the others. The masks are lossless: whatever positions of a window
 are substituted, one mask still hits (``tolerance`` derives the S for which
 that holds). Each hit is verified in place: all windows around it on its
-alignment are counted word by word.
+alignment are counted word by word. Documents too short for the masks' spans
+allow no substitution; their words' hash is looked up among the items' runs of as
+many words.
 
 Scale: no text is shuffled. Benchmark seeds, each with only the words around
 it, are broadcast in blocks of at most ``max_seeds`` (some tens of MB); a larger
@@ -18,7 +21,7 @@ benchmark means more blocks, each a pass over the documents. Verified overlaps
 are aggregated per (document, item).
 
 Cases: null text is empty and overlaps nothing, null doc_id is reported as such;
-items of under ``MIN_WORDS`` words are not searched for; repeated documents or
+items of under ``MIN_WORDS`` words are not searched for, nor are such documents in them; repeated documents or
 items (by id) are reported once; empty tables give an empty result; further
 columns are ignored.
 """
@@ -96,13 +99,31 @@ def _seeds(df: DataFrame, wanted: list[int]) -> DataFrame:
     return df.select("*", F.inline(F.array(*seeds)))
 
 
+def _inside(docs: DataFrame, items: DataFrame, max_seeds: int) -> list[DataFrame]:
+    """(doc_id, item_id, matched) of documents too short for the spaced masks that lie whole in a longer item."""
+    own = list(range(len(MASKS), len(masks())))
+    span = F.element_at(F.array(*[F.lit(len(m)) for m in masks()]), F.col("mask") + 1)
+    runs = _seeds(items.select("item_id", "text"), own).filter((F.col("at") + span <= F.col("n")) & (span < F.col("n")))
+    runs = written(runs.select("item_id", "mask", "h").distinct(), "runs")
+    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
+    # through a list of one, so that the words are computed once per text
+    whole = lambda x, m: F.xxhash64(F.lit(m), *[F.get(x, F.lit(p)) for p in masks()[m]])
+    kinds = lambda x: [F.when(F.size(x) == len(masks()[m]), F.struct(F.lit(m).alias("mask"), whole(x, m).alias("h"))) for m in own]
+    short = docs.select("doc_id", F.get(F.transform(F.array(hashes), lambda x: F.coalesce(*kinds(x))), F.lit(0)).alias("k"))
+    short = written(short.filter("k is not null").select("doc_id", "k.mask", "k.h").distinct(), "short_texts")
+    found = []
+    for block in range(blocks := max(1, math.ceil(runs.count() / max_seeds))):
+        part = runs if blocks == 1 else runs.filter(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == block)
+        hits = short.join(F.broadcast(part), ["h", "mask"])
+        found.append(hits.select("doc_id", "item_id", span.alias("matched")))
+    return found
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, max_seeds: int = 100_000) -> DataFrame:
     """(doc_id, item_id, matched): the most matching words of a window, for each overlap."""
     items = benchmark.select("item_id", text_of().alias("text")).withColumn("words", F.size(words_of(F.col("text"))))
     items = items.filter(F.col("words") >= MIN_WORDS)
-    kind = [F.when(F.col("words") == n, F.struct(*[F.lit(x) for x in tolerance(n)])) for n in range(MIN_WORDS, WINDOW)]
-    kind = F.coalesce(*kind, F.struct(*[F.lit(x) for x in tolerance(WINDOW)]))
-    items = items.select("item_id", "text", kind["col1"].alias("w"), kind["col2"].alias("s_max"))
+    items = items.select("item_id", "text", F.least("words", F.lit(WINDOW)).alias("w"))
     spans = [m[-1] + 1 for m in masks()]
     spaced, short = list(range(len(MASKS))), min(spans[: len(MASKS)])
     span = F.element_at(F.array(*[F.lit(s) for s in spans]), F.col("mask") + 1)
@@ -113,11 +134,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, max_seeds: int = 100_000) ->
         spaced = spaced + own
     seeds = seeds.withColumn("span", span).filter((F.col("span") <= F.col("w")) & (F.col("at") + F.col("span") <= F.col("n")))
     seeds = seeds.select(
-        "item_id", "h", "mask", "w", "s_max", F.col("near").alias("item_near"), F.col("place").alias("item_place"),
-        # first and last window start relative to the seed, by the item's bounds
-        F.greatest(F.col("span") - F.col("w"), -F.col("at")).alias("first"),
-        F.least(F.lit(0), F.col("n") - F.col("w") - F.col("at")).alias("last"),
+        "item_id", "h", "mask", "span", F.col("w").alias("item_w"), F.col("near").alias("item_near"), F.col("place").alias("item_place"),
+        F.col("at").alias("item_at"), F.col("n").alias("item_n"),
     )
+    allowed = F.array(*[F.lit(tolerance(n)[1]) for n in range(1, WINDOW + 1)])
     seeds = written(seeds.distinct(), "seeds")
     blocks = max(1, math.ceil(seeds.count() / max_seeds))
     texts = docs.select("doc_id", text_of().alias("text"))
@@ -125,18 +145,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, max_seeds: int = 100_000) ->
     for block in range(blocks):
         own = seeds if blocks == 1 else seeds.filter(F.pmod(F.xxhash64("item_id", "item_place", "h"), F.lit(blocks)) == block)
         hits = _seeds(texts, spaced).join(F.broadcast(own), ["h", "mask"])
-        hits = hits.withColumn("lo", F.greatest("first", -F.col("at")))
-        hits = hits.withColumn("hi", F.least("last", F.col("n") - F.col("w") - F.col("at"))).filter("lo <= hi")
+        hits = hits.withColumn("w", F.least("item_w", "n")).filter("span <= w").withColumn("s_max", F.element_at(allowed, F.col("w")))
+        # first and last window start relative to the seed: inside the item, and at most s_max words outside the document
+        hits = hits.withColumn("lo", F.greatest(F.col("span") - F.col("w"), -F.col("item_at"), -F.col("at") - F.col("s_max")))
+        hits = hits.withColumn(
+            "hi", F.least(F.lit(0), F.col("item_n") - F.col("w") - F.col("item_at"), F.col("n") - F.col("w") - F.col("at") + F.col("s_max"))
+        ).filter("lo <= hi")
         count = F.expr(
             "array_max(transform(sequence(lo, hi), k -> size(filter(sequence(0, w - 1),"
             " i -> get(near, place + k + i) = get(item_near, item_place + k + i)))))"
         )
         hits = hits.select("doc_id", "item_id", "w", "s_max", count.alias("matched"))
-        hits = hits.filter(F.col("matched") >= F.col("w") - F.col("s_max"))
-        hits = hits.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+        hits = hits.filter(F.col("matched") >= F.col("w") - F.col("s_max")).select("doc_id", "item_id", "matched")
         found = hits if found is None else found.union(hits)
-    if blocks > 1:
-        found = found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
+    for hits in _inside(texts, items, max_seeds):
+        found = found.union(hits)
+    found = found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
     return found.select("doc_id", "item_id", F.col("matched").cast("long").alias("matched"))
 
 

@@ -238,3 +238,25 @@ def test_decontamination_cases(spark, docs_of):
     assert sorted(str(r["doc_id"]) for r in decontam.remove_contaminated(df, bench).collect()) == ["1", "1", "2"]
     assert decontam.overlaps(docs_of([]), bench).collect() == []
     assert decontam.overlaps(df, bench.filter("false")).collect() == []
+
+
+def test_overlaps_at_the_ends_of_documents(spark, docs_of):
+    item = [f"w{k}" for k in range(40)]
+    pad = [f"x{k}" for k in range(30)]
+    parts = [item[5:n] for n in (9, 10, 11, 12, 13, 17, 20)] + [item[-13:] + pad, pad + item[:13], item[:13] + pad, pad + item[20:32], pad + item[20:33] + pad]
+    parts += [item[5:9] + ["y"], item[5:14] + ["y"], item[5:12] + ["y", "y"], ["y", *item[21:34], "y", "z"], item[3:15] + pad]
+    parts += [pad + item[3:16], pad + item[30:], [*item[20:33], *pad], item + pad]
+    short = [f"v{k}" for k in range(7)]
+    parts += [short[:6], short[1:], pad + short, short[:6] + pad]
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(short))], "item_id long, text string")
+
+    def matched(x, y):
+        w, s = decontam.tolerance(min(len(x), len(y)))
+        best = max((sum(0 <= a + k < len(x) and x[a + k] == y[c + k] for k in range(w)) for a in range(-s, len(x) - w + s + 1) for c in range(len(y) - w + 1)), default=0)
+        return best if min(len(x), len(y)) >= decontam.MIN_WORDS and best >= w - s else None
+
+    want = {(d, i): m for d, x in enumerate(parts) for i, y in enumerate((item, short)) if (m := matched(x, y))}
+    for max_seeds in (100_000, 40):
+        got = {(r["doc_id"], r["item_id"]): r["matched"] for r in decontam.overlaps(docs_of([" ".join(x) for x in parts]), bench, max_seeds).collect()}
+        assert got == want
+    assert {k for k, _ in want} == {1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 15, 17, 19, 20, 21, 22, 23}
