@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.operators.audience import expanded
 from cohortlift.plans.registry import analysis
-from conftest import SMALL
+from support import SMALL
 
 J = ["audiencecohort", "tenure_classification"]
 

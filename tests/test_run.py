@@ -9,7 +9,7 @@ from cohortlift.plans.run import run
 from cohortlift.sources import schemas as S
 from cohortlift.sources.csv import read_csv
 from cohortlift.sources.fixtures import view_inputs
-from conftest import SMALL
+from support import SMALL
 
 
 def test_run_end_to_end(spark, tmp_path):
