@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed_dedup, licenses, line_dedup, ngram_join, packing, pii, quality, suffix
+from . import chat, decontam, embed_dedup, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, suffix
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -92,4 +97,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": line_dedup.dedup_sql(),
     "op9_license_scan": licenses.scan_sql("concat_ws('/', source, lang)"),
     "op10_benchmark_decontamination": decontam.overlaps_sql(),
+    "op13_merkle_manifest": merkle.audit_sql(),
 }
