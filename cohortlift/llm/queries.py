@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed_dedup, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, suffix
+from . import chat, decontam, embed_dedup, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, repair, suffix
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(repair.damaged(turns), turns)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_read(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
