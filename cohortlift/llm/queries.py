@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed_dedup, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, repair, suffix
+from . import chat, decontam, embed_dedup, licenses, line_dedup, merkle, ngram_join, packing, pii, quality, repair, suffix, syncmers
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damaged(turns), turns)
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.report(_read(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(_read(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
