@@ -186,3 +186,26 @@ def adopter_group(audience_with_signup: DataFrame, params: Params) -> DataFrame:
         "adopter_group",
         F.when(s < c, F.lit("pre")).when(s >= c, F.lit("during")).otherwise(F.lit("not_in_cohort")),
     )
+
+
+def losses(customer_keys: DataFrame, holdouts: DataFrame, holdout_users_df: DataFrame, master: DataFrame,
+           audience: DataFrame) -> DataFrame:
+    """(metric, n_rows): rows that the joins of the audience leave out or multiply.
+
+    * held-out ids without a profile (O3), held-out rows without a tracking id (O3 keeps them);
+    * targetable rows without a tracking id, which O8 drops;
+    * audience rows beyond one per profile, cohort and tracking id (D4), and without signup date (O10).
+    """
+    def count(metric: str, df: DataFrame, rows: F.Column = F.lit(1)) -> DataFrame:
+        return df.agg(F.lit(metric).alias("metric"), F.coalesce(F.sum(rows), F.lit(0)).cast("long").alias("n_rows"))
+
+    ids = customer_keys.select(F.col("externalprofilerid").alias("identity_value"))
+    weight = copies(audience)
+    per = audience.groupBy("profileid", "audiencecohort", "aid").agg(F.sum(weight).alias("times"))
+    return reduce(DataFrame.unionByName, [
+        count("holdout_ids_without_profile", holdouts.select("identity_value").distinct().join(ids, "identity_value", "left_anti")),
+        count("holdout_rows_without_tracking_id", holdout_users_df.filter(F.col("aid").isNull()), copies(holdout_users_df)),
+        count("targetable_rows_without_tracking_id", master.join(tracking_ids(customer_keys), "profileid", "left_anti")),
+        count("audience_rows_multiplied", per, F.col("times") - 1),
+        count("audience_rows_without_signup", audience.filter(F.col("signup_date").isNull()), weight),
+    ])

@@ -31,12 +31,31 @@ def window_plays(video: DataFrame, params: Params) -> DataFrame:
     lo, hi = params.campaign_start_period, params.window_end_exclusive
     cond = (F.col("adobe_timestamp") >= ntz_midnight(lo)) & (F.col("adobe_timestamp") < ntz_midnight(hi))
     if params.prune_on_play_date:
-        # implied by the timestamp bounds when adobe_date = date(adobe_timestamp);
-        # lets a date-partitioned play table skip whole partitions
-        cond = cond & F.col("adobe_date").between(F.lit(lo), F.lit(hi - dt.timedelta(days=1)))
+        # lets a date-partitioned play table skip whole partitions; ``unpruned_plays`` counts what it would lose
+        cond = cond & _near_window(params)
     return title_normalisation(video.filter(cond))
 
 
+def _near_window(params: Params) -> F.Column:
+    """The play date is in the window or at most the margin away from it."""
+    margin = dt.timedelta(days=params.play_date_margin_days)
+    last = params.window_end_exclusive - dt.timedelta(days=1) + margin
+    return F.col("adobe_date").between(F.lit(params.campaign_start_period - margin), F.lit(last))
+
+
+def unpruned_plays(video: DataFrame, params: Params) -> DataFrame:
+    """(plays): started plays of the window, by their timestamp, that pruning on
+    the play date would leave out (dates beyond the margin, or none).
+
+    Reads three columns of the other partitions, and of them only row groups
+    whose timestamps reach into the window.
+    """
+    lo, hi = params.campaign_start_period, params.window_end_exclusive
+    stray = (F.col("adobe_timestamp") >= ntz_midnight(lo)) & (F.col("adobe_timestamp") < ntz_midnight(hi))
+    stray = stray & (F.col("num_views_started") == 1) & ~F.coalesce(_near_window(params), F.lit(False))
+    return video.filter(stray).agg(F.count(F.lit(1)).alias("plays"))
+
+
 def per_viewer_totals(video: DataFrame, params: Params) -> DataFrame:
     """(aid, distinct_titles, starts, completes, seconds) per tracking id.
 

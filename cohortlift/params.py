@@ -51,9 +51,10 @@ class Params:
     # opt-in corrections of reference behaviour (defaults are faithful)
     exclude_braze: bool = False
     dedupe_audience: bool = False
-    # Also filter plays on adobe_date for partition pruning; drops plays whose
-    # adobe_date is not the date of adobe_timestamp.
+    # Also filter plays on adobe_date for partition pruning, with a margin of
+    # days around the window; a run stops if a play of the window lies beyond it.
     prune_on_play_date: bool = False
+    play_date_margin_days: int = 1
 
     def __post_init__(self):
         if self.on_missing_arm not in ("skip", "error"):
@@ -62,12 +63,17 @@ class Params:
     @property
     def status_start(self) -> Date:
         """First report date a derived daily status needs: winback looks back to the launch."""
-        return min(self.launch_date, self.save_report_start)
+        return min(self.launch_date, self.save_report_start, self.winback_report_start)
 
     @property
     def status_end(self) -> Date:
         return max(self.save_report_end, self.winback_report_end)
 
+    @property
+    def last_return_day(self) -> Date:
+        """Last play day that status, save rate or winback rate looks at."""
+        return max(self.status_end, self.save_report_end + dt.timedelta(days=self.save_gap_max))
+
     @property
     def tenure_date(self) -> Date:
         return self.tenure_as_of or self.as_of

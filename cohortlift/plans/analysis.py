@@ -26,6 +26,7 @@ from ..operators import significance as SG
 from ..operators import tenure as TN
 from ..params import Params
 from ..sources.fixtures import Inputs
+from ..sources.tables import write_bucketed
 
 
 class Analysis:
@@ -115,38 +116,53 @@ class Analysis:
     @functools.cached_property
     def daily_last_view(self) -> DataFrame:
         """The support operator: daily last-start status derived from plays."""
-        return LP.daily_last_view(self.i.silver_video, self.p)
+        return LP.expand_days(self.last_view_ranges)
 
     @functools.cached_property
-    def daily_last_view_status(self) -> DataFrame:
-        """The status table the rates read: the given one, or the derived one."""
-        return self._get("daily_last_view_status", lambda: self.i.daily_last_view_status)
+    def plays(self) -> DataFrame:
+        """What status and rates read of the plays: their distinct days per viewer, from one
+        scan, where the status is derived from them; else the plays themselves."""
+        return self.play_points if self.i.daily_last_view_status is None else self.i.silver_video
+
+    @functools.cached_property
+    def play_points(self) -> DataFrame:
+        return self._get("play_points", lambda: LP.play_points(self.i.silver_video, self.p))
+
+    @functools.cached_property
+    def last_view_ranges(self) -> DataFrame:
+        return self._get("last_view_ranges", lambda: LP.last_view_ranges(self.play_points, self.p))
+
+    @functools.cached_property
+    def status(self) -> DataFrame:
+        """The status the rates read: the given daily table, or the derived ranges."""
+        given = self.i.daily_last_view_status
+        return self.last_view_ranges if given is None else given
 
     @functools.cached_property
     def lapsing_save(self) -> DataFrame:
-        return LP.lapsing_save(self.daily_last_view_status, self.p)
+        return LP.lapsing_save(self.status, self.p)
 
     @functools.cached_property
     def returning_save(self) -> DataFrame:
-        return LP.returning_save(self.i.silver_video, self.lapsing_save, self.p)
+        return LP.returning_save(self.plays, LP.save_lapses(self.status, self.p), self.p)
 
     @functools.cached_property
     def save_rate(self) -> DataFrame:
         return self._get("save_rate", lambda: LP.save_rate(
-            self.classification, self.lapsing_save, self.i.silver_video, self.p))
+            self.classification, LP.save_lapses(self.status, self.p), self.plays, self.p))
 
     @functools.cached_property
     def lapsing_winback(self) -> DataFrame:
-        return LP.lapsing_winback(self.daily_last_view_status, self.p)
+        return LP.lapsing_winback(self.status, self.p)
 
     @functools.cached_property
     def returning_winback(self) -> DataFrame:
-        return LP.returning_winback(self.i.silver_video, self.lapsing_winback, self.p)
+        return LP.returning_winback(self.plays, LP.winback_lapses(self.status, self.p), self.p)
 
     @functools.cached_property
     def winback_rate(self) -> DataFrame:
         return self._get("winback_rate", lambda: LP.winback_rate(
-            self.classification, self.lapsing_winback, self.i.silver_video, self.p))
+            self.classification, LP.winback_lapses(self.status, self.p), self.plays, self.p))
 
     # reports and tests ---------------------------------------------------
     @functools.cached_property
@@ -193,20 +209,34 @@ class Analysis:
         """An Analysis that reads the given steps from ``tables`` instead of computing them."""
         return Analysis(self.i, self.p, {**self.tables, **tables})
 
-    def materialise(self, spark: SparkSession, root: str, stages=STAGES) -> "Analysis":
+    #: Tables that analyses join by a viewer's id are written bucketed by it.
+    BUCKETED = {"classification": "aid", "play_points": "tracking_id", "last_view_ranges": "tracking_id"}
+
+    def materialise(self, spark: SparkSession, root: str, stages=STAGES, buckets: int | None = None) -> "Analysis":
         """Write each step of ``stages`` under ``root`` in order, every step
         computed from the already written ones, and return an Analysis that
         reads them.
 
-        ``root`` must be shared storage (``session.shared_dir``): the written
-        tables cut the lineage, so a lost executor costs only the tasks of
-        the running stage, never a recomputation of the audience from raw
-        inputs.
+        ``root`` must be a new folder on shared storage (``session.shared_dir``):
+        the written tables cut the lineage, so a lost executor costs only the
+        tasks of the running stage, never a recomputation of the audience from
+        raw inputs. ``BUCKETED`` tables get ``buckets`` buckets (default: the
+        session's shuffle partitions), so that KPIs and rates join the audience
+        without shuffling it again.
         """
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         tables: dict[str, DataFrame] = {}
         for name in stages:
             df = getattr(self.with_tables(tables), name)
             path = f"{root.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            tables[name] = spark.read.parquet(path)
+            if name in self.BUCKETED:
+                tables[name] = write_bucketed(df, path, self.BUCKETED[name], buckets)
+            else:
+                df.write.parquet(path)
+                tables[name] = spark.read.parquet(path)
         return self.with_tables(tables)
+
+    # what the joins leave out ---------------------------------------------
+    def losses(self) -> DataFrame:
+        """(metric, n_rows): what the audience joins drop or multiply, each a partial aggregation over written steps."""
+        return A.losses(self.i.customer_keys, self.holdout_groups, self.holdout_users, self.targetable_master, self.audience_signup)

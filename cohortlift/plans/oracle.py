@@ -338,6 +338,18 @@ def _finals(p: Params) -> dict[str, str]:
         "viewer_stats": "SELECT * REPLACE (round(total_hours, 6) AS total_hours) FROM viewers",
         "cohort_kpis": f"SELECT {kpi_cols} FROM cohort_kpis",
         "daily_last_view": "SELECT * FROM daily_last_view_status",
+        "daily_last_view_incremental": "SELECT * FROM daily_last_view_status",
+        "last_view_ranges": """SELECT tracking_id, most_recent_start, min(report_date) AS since, max(report_date) AS until
+                  FROM daily_last_view_status GROUP BY 1, 2""",
+        "audience_losses": """
+            SELECT 'holdout_ids_without_profile' AS metric, count(DISTINCT identity_value) AS n_rows FROM holdout_groups
+            WHERE identity_value NOT IN (SELECT externalprofilerid FROM customer_keys)
+            UNION ALL SELECT 'holdout_rows_without_tracking_id', count(*) FROM holdout_users WHERE aid IS NULL
+            UNION ALL SELECT 'targetable_rows_without_tracking_id', count(*) FROM targetable_master m
+            WHERE NOT EXISTS (FROM trackers t WHERE t.profileid = m.profileid)
+            UNION ALL SELECT 'audience_rows_multiplied',
+                   count(*) - (SELECT count(*) FROM (SELECT DISTINCT profileid, audiencecohort, aid FROM all_audience)) FROM all_audience
+            UNION ALL SELECT 'audience_rows_without_signup', count(*) FROM audience_signup WHERE signup_date IS NULL""",
         "lapsing_save": "SELECT * FROM lapsing_save",
         "returning_save": "SELECT * FROM returning_save",
         "save_rate": save_sel,

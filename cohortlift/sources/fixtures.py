@@ -41,6 +41,7 @@ class Inputs:
 
     Each table is given either as a DataFrame or as a zero-argument builder,
     which is called on first use; a query then only plans the inputs it reads.
+    Without a ``daily_last_view_status`` (None) the status is derived from the plays.
     """
 
     _NAMES = ("backfills", "audience_list", "customer_keys", "account_view", "silver_video",
@@ -57,7 +58,7 @@ class Inputs:
         if name.startswith("_") or name not in self._NAMES:
             raise AttributeError(name)
         if name not in self._built:
-            v = self._src[name]
+            v = self._src.get(name) if name == "daily_last_view_status" else self._src[name]
             self._built[name] = v() if callable(v) else v
         return self._built[name]
 
@@ -156,14 +157,10 @@ def silver_video(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def view_inputs(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Inputs:
     """The inputs as lazy views over the driver's tables."""
-    from ..operators.lapse import daily_last_view
-
-    inputs = Inputs(
+    return Inputs(
         backfills=lambda: {t: holdout_backfill(spark, sf_dir, t) for t in BACKFILL_RESIDUES},
         audience_list=lambda: audience_list(spark, sf_dir),
         customer_keys=lambda: customer_keys(spark, sf_dir),
         account_view=lambda: account_view(spark, sf_dir),
         silver_video=lambda: silver_video(spark, sf_dir),
-        daily_last_view_status=lambda: daily_last_view(inputs.silver_video, params),
     )
-    return inputs

@@ -7,7 +7,10 @@ explicit schemas of ``schemas.py``; nothing is schema-inferred.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schemas as S
 
@@ -46,22 +49,41 @@ def read_source(spark: SparkSession, location: str, name: str) -> DataFrame:
 def read_inputs(spark: SparkSession, locations: dict[str, str], params=None):
     """Build ``Inputs`` from {input name: location}.
 
-    Without a ``daily_last_view_status`` location the status table is derived
-    from the plays by the ``daily_last_view`` operator, from the launch to the
-    end of the reports.
+    Without a ``daily_last_view_status`` location the analysis derives the
+    status from the plays, from the launch to the end of the reports.
     """
-    from ..operators.lapse import daily_last_view
-    from ..params import Params
     from .fixtures import BACKFILL_RESIDUES, Inputs
 
     t = {name: read_source(spark, loc, name) for name, loc in locations.items()}
-    if "daily_last_view_status" not in t:
-        t["daily_last_view_status"] = daily_last_view(t["silver_video"], params or Params())
     return Inputs(
         backfills={b: t[b] for b in BACKFILL_RESIDUES},
         audience_list=t["audience_list"],
         customer_keys=t["customer_keys"],
         account_view=t["account_view"],
         silver_video=t["silver_video"],
-        daily_last_view_status=t["daily_last_view_status"],
+        daily_last_view_status=t.get("daily_last_view_status"),
     )
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a Parquet table at ``path``, bucketed and sorted by ``key``, read back.
+
+    A join or grouping by ``key`` then needs no shuffle of the table; two
+    tables with as many buckets join without any. Rows are dealt by key first,
+    so a bucket is one file; rows without key, however many, are spread over
+    the tasks (their bucket has several files). The catalog entry is the
+    session's; ``read_bucketed`` makes another one later.
+    """
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*[c for c in df.columns if c != key], F.monotonically_increasing_id()))
+    name = f"cohortlift_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, F.col(key), spread)  # a null adds nothing to Spark's hash: dealt like the bucket
+    rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A table that ``write_bucketed`` has written, in any later session."""
+    name = f"cohortlift_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)

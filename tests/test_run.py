@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlift.operators.audience import expanded
+from cohortlift.operators.lapse import daily_last_view, expand_days
 from cohortlift.params import FIXTURE_PARAMS
+from cohortlift.plans.analysis import Analysis
 from cohortlift.plans.run import run
 from cohortlift.sources import schemas as S
 from cohortlift.sources.csv import read_csv
@@ -17,7 +19,7 @@ def test_run_end_to_end(spark, tmp_path):
     locations = {}
     tables = dict(v.backfills)
     tables.update(audience_list=v.audience_list, customer_keys=v.customer_keys, account_view=v.account_view,
-                  silver_video=v.silver_video, daily_last_view_status=v.daily_last_view_status)
+                  silver_video=v.silver_video, daily_last_view_status=daily_last_view(v.silver_video, FIXTURE_PARAMS))
     for name, df in tables.items():
         path = str(tmp_path / "in" / name)
         df.write.parquet(path)
@@ -50,7 +52,8 @@ def test_run_without_status_and_with_options(spark, tmp_path):
         locations[name] = str(tmp_path / "in" / name)
         df.write.parquet(locations[name])
     paths = run(spark, locations, FIXTURE_PARAMS.replace(tenure_as_of=FIXTURE_PARAMS.as_of), str(tmp_path / "out"))
-    assert spark.read.parquet(paths["daily_last_view_status"]).count() == v.daily_last_view_status.count()
+    days = expand_days(spark.read.parquet(paths["last_view_ranges"]))
+    assert days.count() == daily_last_view(v.silver_video, FIXTURE_PARAMS).count()
     assert read_csv(spark, paths["WinbackRates"], S.WINBACK_RATES).count() == 14
     with pytest.raises(Exception, match="lacks an arm"):
         run(spark, locations, FIXTURE_PARAMS.replace(on_missing_arm="error"), str(tmp_path / "error"))
@@ -79,4 +82,6 @@ def test_read_inputs_derives_status_and_lowercases(spark, tmp_path):
         locs[name] = p
     i = read_inputs(spark, locs, FIXTURE_PARAMS)
     assert i.customer_keys.columns == ["profileid", "externalprofilerid", "partnerorsystemid"]
-    assert i.daily_last_view_status.count() == v.daily_last_view_status.count()
+    assert i.daily_last_view_status is None
+    status = Analysis(i, FIXTURE_PARAMS).daily_last_view
+    assert status.count() == daily_last_view(v.silver_video, FIXTURE_PARAMS).count()
