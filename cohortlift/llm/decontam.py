@@ -165,11 +165,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, max_seeds: int = 100_000) ->
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The documents (all columns) that overlap no item. A null doc_id cannot be
-    matched to a report and goes if any document without id overlaps."""
-    bad = overlaps(docs, benchmark, **kw).select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"))
-    out = rows.join(bad, F.col("doc.doc_id").eqNullSafe(F.col("id")), "left_anti")
+    """The rows (all columns) whose text overlaps no item.
+
+    Each row is judged by its own text: rows without doc_id, or of a repeated
+    one, go only if they overlap themselves. Equal texts of one doc_id share
+    their judgement.
+    """
+    row = lambda doc_id, text: F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), text))
+    judged = docs.select(row(F.col("doc_id"), text_of()).alias("doc_id"), "text")
+    bad = overlaps(judged, benchmark, **kw).select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), row(F.col("doc_id"), text_of()).alias("id"))
+    out = rows.join(bad, "id", "left_anti")
     return out.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 

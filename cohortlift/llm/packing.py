@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
 ``tokenize`` turns documents into token pieces, ``pack`` places pieces into
-sequences, ``sequences`` joins both into packed id sequences.
+sequences, ``sequences`` puts the placed pieces' ids together.
 
 Packing is vector best fit: a sequence has a residual capacity in three
 dimensions (tokens, documents, attention cost = sum of squared lengths). A
@@ -223,10 +223,13 @@ def pack(
     return whole.unionByName(first.filter(F.col("_fill") >= refill).drop("_fill")).unionByName(again.drop("_fill"))
 
 
-def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
-    """(sequence_id, ids) with each sequence's ids concatenated by offset."""
-    key = ["doc_id", "piece"]
-    rows = placed.select(*key, "sequence_id", "offset").join(pieces.select(*key, "ids"), key)
-    return rows.groupBy("sequence_id").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts")
-    ).select("sequence_id", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
+def sequences(placed: DataFrame) -> DataFrame:
+    """(sequence_id, ids): each sequence's ids in order, from placed pieces that carry their ``ids``.
+
+    ``pack`` carries all columns of the pieces, so no piece has to be found
+    again: repeated rows and null doc_ids are in their sequences as often as
+    they were packed. A sequence is bounded by ``max_tokens``.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    rows = placed.groupBy("sequence_id").agg(parts.alias("parts"))
+    return rows.select("sequence_id", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))

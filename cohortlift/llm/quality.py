@@ -133,10 +133,19 @@ class Quality:
     linear: Linear
     sites: DataFrame
     features: DataFrame
+    max_broadcast_bytes: int = 32 << 20
 
     def score(self, evidence: DataFrame) -> DataFrame:
-        """Adds site_probability and probability to rows with host, path, evidence."""
+        """Adds site_probability and probability to rows with host, path, evidence.
+
+        The posteriors are broadcast if they are counted to be small, so that
+        the rows (and the texts they may carry) stay where they are; beyond
+        that they are joined by site.
+        """
         sites = self.sites.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "site_probability")
+        held = sites.agg(F.sum(F.octet_length("_host") + F.octet_length("_path") + 64)).first()[0] or 0
+        if held <= self.max_broadcast_bytes:
+            sites = F.broadcast(sites)
         out = evidence.join(sites, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
         return out.drop("_host", "_path").withColumn(
             "probability", _sigmoid(F.col("evidence") + _logit(F.col("site_probability")))

@@ -47,7 +47,7 @@ def test_placement_is_gapless_and_within_bounds(spark, docs_of):
         assert [o for o, _ in parts] == list(np.cumsum([0, *(n for _, n in parts)])[:-1])
         assert sum(n for _, n in parts) <= 64
     assert len(by) <= 1.05 * total / 64 + 2
-    ids = {r["sequence_id"]: r["ids"] for r in packing.sequences(pieces, placed).collect()}
+    ids = {r["sequence_id"]: r["ids"] for r in packing.sequences(placed).collect()}
     for r in pieces.collect():
         at = next(p for p in rows if (p["doc_id"], p["piece"]) == (r["doc_id"], r["piece"]))
         assert ids[at["sequence_id"]][4 * at["offset"] :][: 4 * r["length"]] == r["ids"]
@@ -70,6 +70,13 @@ def test_empty_and_repeated(spark, docs_of):
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
 
 
+def test_sequences_hold_every_row_as_often_as_it_is_there(spark, docs_of):
+    docs = docs_of(["a b c", "a b c", None, "d e", "f", ""], ids=[1, 1, None, None, 2, 2])
+    placed = packing.pack(packing.tokenize(docs, PATH), max_tokens=4096)
+    got = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in packing.sequences(placed).collect()])
+    assert sorted(got.tolist()) == sorted(i for t in ["a b c", "a b c", None, "d e", "f", ""] for i in reference_ids(t))
+
+
 def test_query_digest(spark):
     from cohortlift.llm.queries import op2_best_fit_packing
 

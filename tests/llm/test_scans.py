@@ -132,6 +132,9 @@ def test_quality_cases(spark, docs_of):
     assert quality.classify(docs_of([]), none).collect() == [] and quality.keep(docs_of([]), none).collect() == []
     clash = df.withColumn("host", F.lit(1)).withColumn("evidence", F.lit("e")).withColumn("probability", F.lit(None))
     assert quality.keep(clash, none).columns == clash.columns
+    # texts stay where they are, also where nothing is broadcast by estimates
+    plan = quality.keep(df, none)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
 # licences
@@ -236,6 +239,11 @@ def test_decontamination_cases(spark, docs_of):
     assert [tuple(r) for r in decontam.overlaps(df, bench).collect()] == [(None, 0, 9)]
     assert decontam.remove_contaminated(df, bench).columns == df.columns
     assert sorted(str(r["doc_id"]) for r in decontam.remove_contaminated(df, bench).collect()) == ["1", "1", "2"]
+    # of rows without id, or of one id, only those go that overlap themselves
+    item = "one two three four five six seven eight nine"
+    mixed = docs_of([f"x {item}", "clean", item, "clean too", "clean too", f"{item} y"], ids=[None, None, 5, 5, 5, 6])
+    left = decontam.remove_contaminated(mixed, bench).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == [("5", "clean too"), ("5", "clean too"), ("None", "clean")]
     assert decontam.overlaps(docs_of([]), bench).collect() == []
     assert decontam.overlaps(df, bench.filter("false")).collect() == []
 
