@@ -14,14 +14,13 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
     Only where that is unset, and only on a single-machine master (tests), a
-    folder of the application under /tmp is set instead.
+    folder of the application under /tmp stands in.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to storage shared by all executors")
         folder = f"/tmp/cohortlift-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
@@ -29,14 +28,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
     Cuts the lineage: a lost executor costs running tasks only. The table is
-    removed when the application ends.
+    removed when the application ends, or by ``discard``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.deleteOnExit(at)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._discard = lambda: files.delete(at, True)
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table of ``written`` at once, for use when all that was made of it is written too."""
+    table._discard()
 
 
 def text_of(column: str = "text") -> Column:

@@ -11,8 +11,11 @@ corpus are dropped: their windows cannot repeat. For two anchors with the same
 gram that agree on exactly l bytes to the left (at most the window's reach),
 the suffixes l bytes before them hold every window they share; so an anchor
 contributes the suffix at each such l, if with what is shared to the right it
-makes ``length``. If all anchors of a gram have the same left context, that is
-one suffix each; else the l come from sorting the reversed left contexts.
+makes ``length``. Anchors of equal gram whose contexts are equal as far as a window
+reaches, on both sides, form a class: they share all they can share with each
+other by one suffix each, the longest. Of a gram with several classes, one
+anchor of each class (its head) also contributes the l that it shares with
+other classes, which come from sorting the heads' reversed left contexts.
 
 How they are sorted. Tasks sort their suffixes into runs and front-code them
 (length of the prefix shared with the one before, and the rest); runs are cut
@@ -49,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import polynomial, runs, small, text_of, written
+from .common import discard, polynomial, runs, small, text_of, written
 
 SLICE_BYTES = 900 << 10
 RUN_BYTES = 32 << 20
@@ -79,7 +82,8 @@ def _slices(texts: list[bytes]):
 
 
 def anchors_of(texts: list[bytes], length: int, gram: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per text: positions of its anchors, their grams' hashes, their left contexts' hashes."""
+    """Per text: positions of its anchors, their grams' hashes, their contexts' hashes
+    (all that a repeat through the anchor can reach: left to the window's reach, right to ``length``)."""
     out = []
     width = length - gram + 1
     top = np.uint64(np.iinfo(np.uint64).max)
@@ -100,7 +104,9 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> list[tuple[np.ndar
         chosen = np.flatnonzero((high == h) & (h > 0))
         owner = np.searchsorted(ends, chosen, "right")
         left = np.maximum(begins[owner], chosen - (width - 1))
-        grams, context = h[chosen], poly.ranges(prefix, left, chosen)
+        right = np.minimum(ends[owner], chosen + length)
+        # left and right of the anchor apart, so that equal contexts have the anchor at the same place
+        grams, context = h[chosen], poly.ranges(prefix, left, chosen) * np.uint64(0x9E3779B97F4A7C15) ^ poly.ranges(prefix, chosen, right)
         cut = np.searchsorted(owner, np.arange(last - first + 1))
         for k in range(last - first):
             own = slice(cut[k], cut[k + 1])
@@ -291,15 +297,20 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([f[k] for f in found]).astype(np.uint64 if k else np.int64).view(np.int64)))
                 for k in range(3)
             ]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], names=["id", "th", "at", "gram", "left"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *lists], names=["id", "th", "at", "gram", "context"])
 
-    schema = "id long, th long, at array<long>, gram array<long>, left array<long>"
+    schema = "id long, th long, at array<long>, gram array<long>, context array<long>"
     found = written(rows.filter(F.octet_length("text") >= length).mapInArrow(anchors, schema), "anchors")
-    each = found.select("id", "th", F.inline(F.arrays_zip(F.col("at").cast("array<int>").alias("at"), "gram", "left")))
-    grams = each.groupBy("gram").agg(F.count("*").alias("n"), F.min("left").alias("lo"), F.max("left").alias("hi"))
-    grams = grams.filter("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("mixed"))
-    candidates = each.select("id", "th", "at", "gram").join(grams, "gram")
-    candidates = written(_per_doc(candidates, F.struct("at", "gram", "mixed")), "candidates")
+    each = found.select("id", "th", F.inline(F.arrays_zip(F.col("at").cast("array<int>").alias("at"), "gram", "context")))
+    # anchors of equal gram and context share all they can: one stands for its class among the gram's other classes
+    classes = each.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "at")).alias("head"))
+    grams = classes.groupBy("gram").agg(F.sum("n").alias("all"), F.count("*").alias("classes")).filter("all > 1")
+    classes = classes.join(grams.select("gram", (F.col("classes") > 1).alias("mixed")), "gram")
+    candidates = each.select("id", "th", "at", "gram", "context").join(classes, ["gram", "context"])
+    heads = F.col("mixed") & (F.struct("id", "th", "at") == F.col("head"))
+    candidates = candidates.select("id", "th", "at", "gram", heads.alias("mixed"), (~F.col("mixed") | (F.col("n") > 1)).alias("plain"))
+    candidates = written(_per_doc(candidates, F.struct("at", "gram", "mixed", "plain")), "candidates")
+    discard(found)
 
     # right contexts are hashed at several lengths, the last one whole
     ladder = sorted({length, *range(gram + (length - gram) // 6, length, max(1, (length - gram) // 6))})
@@ -350,10 +361,11 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
     left = left.mapInArrow(contexts, "gram long, left binary, id long, th long, at int, rights array<long>")
     left = left.repartitionByRange("gram", "left", "id", "th", "at").sortWithinPartitions("gram", "left")
     starts = left.mapInArrow(shared_lefts, "id long, th long, start int, end int")
-    plain = candidates.select("id", "th", F.explode("values").alias("v")).filter("not v.mixed").select(
+    plain = candidates.select("id", "th", F.explode("values").alias("v")).filter("v.plain").select(
         "id", "th", F.greatest(F.lit(0), F.col("v.at") - (width - 1)).alias("start"), (F.col("v.at") + length).alias("end")
     )
     starts = written(_per_doc(starts.union(plain).distinct(), F.struct("start", "end")), "starts")
+    discard(candidates)
     total = starts.agg(F.sum(F.size("values"))).first()[0] or 0
     ranges = max(1, -(-total // entries))
 
@@ -416,7 +428,9 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
 
     dealt = blocks.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run")
     spans = dealt.mapInArrow(combine, "id long, th long, start long, end long")
-    return written(_per_doc(spans, F.struct("start", "end")), "spans")
+    spans = written(_per_doc(spans, F.struct("start", "end")), "spans")
+    discard(starts)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, gram: int = 64, max_broadcast: int = 1_000_000, **kw) -> DataFrame:
