@@ -112,6 +112,65 @@ def test_quality_held_out(spark):
     assert {r[0] for r in kept.select("doc_id").collect()} == {r[0] for r in quality.classify(docs, train).filter("kept").select("doc_id").collect()}
 
 
+def quality_brute(docs, labels, threshold=0.5):
+    """{doc_id: (evidence, site probability, probability, kept)}: the method in plain numpy and dictionaries.
+
+    docs: (doc_id, host, path, text); labels: {doc_id: quality}.
+    """
+    x = {d: quality.features_of([t])[0] for d, _, _, t in docs}
+    known = sorted(set(labels) & set(x))
+    rows, y = np.array([x[d] for d in known]), np.array([float(labels[d]) for d in known])
+    mean, scale = rows.mean(0), rows.std(0)
+    scale[scale <= 1e-9] = 1
+    design = lambda r: np.hstack([np.clip((r - mean) / scale, -8, 8), np.ones((len(r), 1))])
+    z, w = design(rows), np.zeros(rows.shape[1] + 1)
+    ridge = np.full(len(w), 1.0)
+    ridge[-1] = 1e-6
+    for _ in range(60):  # Newton's steps on the penalised likelihood
+        p = 1 / (1 + np.exp(-z @ w))
+        w += np.linalg.solve(z.T * (p * (1 - p)) @ z + np.diag(ridge), z.T @ (y - p) - ridge * w)
+    prior = np.log(y.mean() / (1 - y.mean()))
+    evidence = {d: float(np.clip(design(x[d][None])[0] @ w - prior, -20, 20)) for d in x}
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    paths, hosts = {}, {}
+    for d, host, path, _ in docs:
+        for table, key in ((paths, (host, path)), (hosts, host)):
+            n, total = table.get(key, (0, 0.0))
+            table[key] = n + 1, total + sigmoid(evidence[d] + prior)
+    rate = np.clip(sum(t for _, t in hosts.values()) / len(docs), 1e-4, 1 - 1e-4)
+
+    def strength(table, around):
+        n = sum(k for k, _ in table.values())
+        spread = sum(k * (t / k - around[key]) ** 2 for key, (k, t) in table.items())
+        noise = [around[key] * (1 - around[key]) for key in table]
+        return min(max(np.mean(noise) / max((spread - sum(noise)) / n, 1e-6) - 1, 1), 1e4)
+
+    a = strength(hosts, dict.fromkeys(hosts, rate))
+    above = {h: (t + a * rate) / (k + a) for h, (k, t) in hosts.items()}
+    b = strength(paths, {key: above[key[0]] for key in paths})
+    site = {key: np.clip((t + b * above[key[0]]) / (k + b), 1e-4, 1 - 1e-4) for key, (k, t) in paths.items()}
+    out = {}
+    for d, host, path, _ in docs:
+        q = site[host, path]
+        p = sigmoid(evidence[d] + np.log(q / (1 - q)))
+        out[d] = evidence[d], q, p, p >= threshold
+    return out
+
+
+def test_quality_query_against_brute_force(spark):
+    from cohortlift.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.source or "", r.lang or "", r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality is not None}
+    want = quality_brute(docs, labels)
+    rows = QUERIES["op8_quality_classifier"](spark, sf).collect()
+    assert {r.doc_id for r in rows} == set(want) and len(rows) == len(docs)
+    for r in rows:
+        assert np.allclose((r.evidence, r.site_probability, r.probability), want[r.doc_id][:3], atol=1e-5)
+        assert r.kept == want[r.doc_id][3] or abs(r.probability - 0.5) < 1e-4
+
+
 def test_sparse_sites_lean_on_the_prior(spark, docs_of):
     good, bad = "A calm sentence with some words in it.", "$$$ ### !!! *** &&&"
     a = docs_of([good] * 80 + [bad] * 80, source="mixed")
@@ -171,7 +230,7 @@ def test_root_licence_and_templates(spark):
 def test_whole_licence_files_are_inherited(spark):
     prose = "the reader of this file may use it for all the things that are said in the text of the file and in any other work " * 20
     texts = licenses.full_texts()
-    assert {"AGPL-3.0", "Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "ISC", "MIT"} <= {name for name, _ in texts}
+    assert {"Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "ISC", "MIT"} <= {name for name, _ in texts}
     rows = [("z", prose), ("", "Copyright")]
     for name, text in texts:
         cut = text[: text.index("How to Apply")] if "How to Apply" in text else text  # as projects leave it out, under their own name
