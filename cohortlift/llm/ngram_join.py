@@ -1,22 +1,28 @@
-"""Near-duplicate documents: Jaccard join of word shingles by banded MinHash, in place of an LSH forest.
+"""Near-duplicate documents: Jaccard join of word shingles by a MinHash LSH forest.
 
 A document's set holds its runs of ``words`` lower-case, blank-separated words
-(all its words, if fewer). Instead of a forest, whose matched prefixes are
-shortened level by level on the data, each of ``trees`` trees (bands) labels a
-document by one prefix of MinHash values; documents with equal labels share a
-node. ``depth`` computes the prefix length once, from the parameters: the longest
-of up to ``max_depth`` at which a pair at the threshold meets in some tree with
-probability ``recall``. Nodes at that level contain those of all deeper levels, so
-shortening prefixes from ``max_depth`` down to it would find the same pairs.
+(all its words, if fewer). A tree's signature is a row of ``levels`` MinHash values
+(16 bits each). The forest is the sorted order of (tree, signature): its prefix
+tries are the runs of rows that agree on their first values, and the prefix
+that a row shares with the row before it holds all of them, at any depth.
+
+Matched prefixes are shortened from the whole signature on. At each depth the
+links met so far (neighbours in the order whose signatures agree in a share of
+``threshold`` or more) tell how many were missed: one of similarity s is met in
+some tree with probability P = 1 - (1 - s^depth)^trees, so each found stands for
+(1 - P) / P that were not. Shortening ends when the recall so estimated reaches
+``recall``, a link at the threshold added for what was never seen; at the latest
+at the depth at which links at the threshold are met with that probability.
 Candidates are then verified exactly on their whole sets.
 
 Scale: documents with equal sets are one class with a weight first, so copies
-cost nothing more. A node yields a star to its smallest class, never its
-pairs, in two steps (within salts, then between them), so that a node with a
-third of all classes is shared out. Stars make candidate components; a component
-is verified in blocks of about ``block`` classes, each pair of blocks by itself.
-Pairs are never rows: a pair of blocks yields a row per class, with its links'
-weight and its component there. Texts are shuffled once; labels are 8 bytes per tree.
+cost nothing more. The order is one range sort of 40 rows per class; classes of
+equal signatures, however many, are spread over ranges by their ids, and the
+ranges' ends are stitched (two rows per range on the driver). Neighbours make
+candidate components; a component is verified in blocks of about ``block``
+classes and ``block_chars`` characters, each pair of blocks by itself.
+Pairs are never rows beyond neighbours: a pair of blocks yields a row per class,
+with its links' weight and its component there. Texts are shuffled once.
 
 Cases: null text is empty; texts without words are equal to one another; a null
 doc_id takes no part (n_links 0, class_id null, kept false); rows that repeat a
@@ -28,10 +34,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import polynomial, runs, small, text_of, written
+from .common import discard, polynomial, runs, small, text_of, written
 from .components import components, local_components
 
 SLICE_BYTES = 900 << 10
@@ -74,21 +81,30 @@ def depth(trees: int, max_depth: int, threshold: float, recall: float) -> int:
     return 1
 
 
-def labels(sets: list[np.ndarray], trees: int, levels: int, seed: int) -> np.ndarray:
-    """Per set and tree, a hash of the tree's number and the first ``levels`` MinHash values."""
+def signatures(sets: list[np.ndarray], trees: int, levels: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per set and tree, 16 bits of each of the tree's MinHash values, the first four in one long, the rest in another."""
     rng = np.random.default_rng(seed)
     flip, odd = (rng.integers(0, 2**63, trees * levels, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-    out = np.empty((len(sets), trees), np.int64)
+    out = np.zeros((2, len(sets), trees), np.uint64)
     for k, own in enumerate(sets):
         low = np.full(trees * levels, np.iinfo(np.uint64).max, np.uint64)
         for c in range(0, len(own), 512):
             np.minimum(low, (((own[c : c + 512, None] ^ flip) * odd)).min(0), out=low)
-        h = np.arange(trees, dtype=np.uint64)
-        for level in low.reshape(trees, levels).T:
-            h = (h ^ level) * np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(29)
-        out[k] = h.view(np.int64)
-    return out
+        bits = (low ^ low >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(48)
+        for level, value in enumerate(bits.reshape(trees, levels).T):
+            out[level // 4, k] |= value << np.uint64(48 - 16 * (level % 4))
+    return out[0].view(np.int64), out[1].view(np.int64)
+
+
+def agreement(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], levels: int) -> np.ndarray:
+    """Which of the ``levels`` values of signatures (first, rest) are equal; values along the last axis."""
+    x = [(p ^ q).view(np.uint64) for p, q in zip(a, b, strict=True)]
+    return np.stack([x[k // 4] >> np.uint64(48 - 16 * (k % 4)) & np.uint64(0xFFFF) for k in range(levels)], -1) == 0
+
+
+def prefix_lengths(a, b, levels: int) -> np.ndarray:
+    """Lengths of the common prefixes of signatures."""
+    return np.logical_and.accumulate(agreement(a, b, levels), -1).sum(-1)
 
 
 def digest(own: np.ndarray) -> bytes:
@@ -123,48 +139,126 @@ def _jaccard_pairs(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: f
     return i, j
 
 
+def neighbours(classes: DataFrame, trees: int, levels: int, least: int) -> DataFrame:
+    """(a, b, depth): classes next to each other in the forest's order whose signatures share ``least`` values or more."""
+    each = classes.select("rep", F.posexplode(F.arrays_zip("first", "rest")).alias("tree", "s"))
+    keys = ["tree", "first", "rest", "rep"]
+    each = each.select("tree", "s.first", "s.rest", "rep").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    schema = "a long, b long, depth int, tree int, first long, rest long, part int"
+
+    def run(batches):
+        part, last = TaskContext.get().partitionId(), None
+
+        def rows(a, b, depth, row=(0, 0, 0)):
+            n = len(a)
+            values = [a, b, np.broadcast_to(depth, n), *[np.full(n, x) for x in row], np.full(n, part)]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [c.to_numpy() for c in batch.columns]
+            if last is None:  # the ends of a range, to be stitched
+                yield rows(now[3][:1], now[3][:1], -1, [c[0] for c in now[:3]])
+            else:
+                now = [np.concatenate([x, c]) for x, c in zip(last, now, strict=True)]
+            tree, first, rest, rep = now
+            shared = np.where(tree[1:] == tree[:-1], prefix_lengths((first[1:], rest[1:]), (first[:-1], rest[:-1]), levels), 0)
+            near = np.flatnonzero(shared >= least)
+            yield rows(rep[near + 1], rep[near], shared[near])
+            last = [c[-1:] for c in now]
+        if last is not None:
+            yield rows(last[3], last[3], -2, [c[0] for c in last[:3]])
+
+    found = written(each.mapInArrow(run, schema), "neighbours")
+    ends = sorted(tuple(r) for r in found.filter("depth < 0").select("part", -F.col("depth"), "a", "tree", "first", "rest").collect())
+    stitched = []
+    for x, y in zip(ends[1::2], ends[2::2], strict=False):
+        if x[3] == y[3]:
+            shared = prefix_lengths(*[tuple(np.array([v], np.int64) for v in e[4:]) for e in (x, y)], levels)
+            stitched.append((y[2], x[2], int(shared[0])))
+    edges = found.filter("depth >= 0").select("a", "b", "depth")
+    edges = edges.union(classes.sparkSession.createDataFrame([e for e in stitched if e[2] >= least], "a long, b long, depth int"))
+    pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "depth").filter("a <> b")
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("depth").alias("depth")), "neighbour_pairs")
+    discard(found)
+    return pairs
+
+
+def level_of(pairs: DataFrame, classes: DataFrame, trees: int, levels: int, least: int, threshold: float, recall: float) -> int:
+    """The longest prefix at which the estimated recall is reached, ``least`` at the shortest."""
+    signed = classes.select("rep", "first", "rest")
+    for x in "ab":
+        pairs = pairs.join(signed.select(F.col("rep").alias(x), F.col("first").alias(f"first_{x}"), F.col("rest").alias(f"rest_{x}")), x)
+
+    def similarity(batches):
+        for batch in small(batches, 2048):
+            a, b = ([batch.column(f"{c}_{x}").flatten().to_numpy().reshape(-1, trees) for c in ("first", "rest")] for x in "ab")
+            share = agreement(a, b, levels).mean((1, 2))
+            yield pa.RecordBatch.from_arrays([batch.column("depth"), pa.array(share)], names=["depth", "s"])
+
+    links = pairs.mapInArrow(similarity, "depth int, s double").filter(F.col("s") >= threshold)
+    met = lambda s, d: 1 - F.pow(1 - F.pow(s, F.lit(float(d))), F.lit(float(trees)))
+    depths = range(levels, least, -1)
+    sums = []
+    for d in depths:
+        own = F.col("depth") >= d
+        p = met(F.col("s"), d)
+        sums += [F.sum(own.cast("long")).alias(f"found{d}"), F.sum(F.when(own, (1 - p) / p)).alias(f"missed{d}")]
+    if not sums:
+        return least
+    got = links.agg(*sums).first()
+    for d in depths:
+        found = got[f"found{d}"] or 0
+        unseen = (got[f"missed{d}"] or 0.0) + (1 - threshold**d) ** trees
+        if found and found / (found + unseen) >= recall:
+            return d
+    return least
+
+
 def join(
     docs: DataFrame,
     threshold: float = 0.8,
     words: int = 5,
     trees: int = 40,
-    max_depth: int = 8,
+    levels: int = 8,
     recall: float = 0.99999,
     block: int = 384,
-    salts: int = 16,
+    block_chars: int = 64 << 20,
     seed: int = 11,
 ) -> DataFrame:
     """(doc_id, n_links, class_id, kept): how many other documents (rows) have a
     Jaccard similarity of ``threshold`` or more; the smallest doc_id reachable
     by such links, itself included."""
-    levels = depth(trees, max_depth, threshold, recall)
+    if levels > 8:
+        raise ValueError("a signature has up to 8 levels")
+    least = depth(trees, levels, threshold, recall)
 
-    def label(batches):
+    def sign(batches):
         for b in small(batches, 2048):
-            sets = shingles(b.column(1).to_pylist(), words)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(labels(sets, trees, levels, seed).ravel()), trees)
+            texts = b.column(1).to_pylist()
+            sets = shingles(texts, words)
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), trees).cast(pa.list_(pa.int64())) for x in signatures(sets, trees, levels, seed)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([digest(s) for s in sets], pa.binary()), lists.cast(pa.list_(pa.int64()))], names=["doc_id", "class", "labels"]
+                [b.column(0), pa.array([digest(s) for s in sets], pa.binary()), pa.array([len(t) for t in texts], pa.int64()), *lists],
+                names=["doc_id", "class", "chars", "first", "rest"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    labelled = written(rows.mapInArrow(label, "doc_id long, class binary, labels array<long>"), "labels")
+    labelled = written(rows.mapInArrow(sign, "doc_id long, class binary, chars long, first array<long>, rest array<long>"), "signatures")
     known = labelled.filter("doc_id is not null")
-    classes = written(
-        known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.first("labels").alias("labels")), "classes"
+    classes = known.groupBy("class").agg(
+        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.max("chars").alias("chars"), F.first("first").alias("first"), F.first("rest").alias("rest")
     )
-    # a node's star, within salts and then between them
-    node = classes.select(F.explode("labels").alias("node"), "rep")
-    node = node.withColumn("low", F.min("rep").over(_window("node", F.pmod(F.xxhash64("rep"), F.lit(salts)))))
-    node = written(node.withColumn("size", F.count("*").over(_window("node", F.pmod(F.xxhash64("rep"), F.lit(salts))))), "nodes")
-    inner = node.filter("size > 1 and rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    tops = node.filter("rep = low").select("node", "rep")
-    outer = tops.withColumn("low", F.min("rep").over(_window("node"))).filter("rep <> low")
-    candidates = components(inner.union(outer.select(F.col("rep").alias("a"), F.col("low").alias("b"))).distinct())
-    candidates = candidates.withColumnRenamed("node", "rep")
-    sizes = candidates.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    member = classes.select("class", "rep", "weight").join(candidates, "rep").join(sizes, "label")
-    member = written(member, "members")
+    classes = written(classes, "classes")
+    pairs = neighbours(classes, trees, levels, least)
+    level = level_of(pairs, classes, trees, levels, least, threshold, recall)
+    candidates = components(pairs.filter(F.col("depth") >= level).select("a", "b")).withColumnRenamed("node", "rep")
+    member = classes.select("class", "rep", "weight", "chars").join(candidates, "rep")
+    blocks = F.greatest(F.ceil(F.count("*") / F.lit(block)), F.ceil(F.sum("chars") / F.lit(block_chars)), F.lit(1).cast("long"))
+    sizes = member.groupBy("label").agg(blocks.alias("blocks"))
+    member = written(member.drop("chars").join(sizes, "label"), "members")
 
     def verify(batches):
         for table in runs(batches, ["label", "i", "j"]):
@@ -219,12 +313,6 @@ def join(
     )
 
 
-def _window(*keys):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys)
-
-
 def keep(docs: DataFrame, **kw) -> DataFrame:
     """One document of each class (the smallest doc_id), with all columns; rows
     without doc_id stay, a repeated row of a kept document goes."""

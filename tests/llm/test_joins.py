@@ -76,7 +76,7 @@ def test_ngram_hot_near_copies(spark, docs_of):
         c[rng.randrange(200)] = f"x{k}"
         many.append(" ".join(c))
     many += [" ".join(base)] * 60
-    assert join(docs_of(many), block=32, salts=4) == expected(many)
+    assert join(docs_of(many), block=32, block_chars=20_000) == expected(many)
 
 
 def test_ngram_prefix_depth():
@@ -84,6 +84,50 @@ def test_ngram_prefix_depth():
     assert 1 - (1 - 0.8**d) ** 40 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 40
 
 
+def test_signatures_sort_into_prefix_tries():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64)) for _ in range(30)]
+    sets += [np.unique(np.r_[s[: 40 - k], rng.integers(0, 2**63, k, dtype=np.uint64)]) for k, s in enumerate(sets) if k < 9]
+    first, rest = ngram_join.signatures(sets, 40, 8, 11)
+    values = np.stack([(x >> np.uint64(48 - 16 * k)) & np.uint64(0xFFFF) for x in (first.view(np.uint64), rest.view(np.uint64)) for k in range(4)], -1)
+    a, b = np.repeat(range(len(sets)), len(sets)), np.tile(range(len(sets)), len(sets))
+    shared = ngram_join.prefix_lengths((first[a], rest[a]), (first[b], rest[b]), 8)
+    want = [[next((k for k in range(8) if values[x, t, k] != values[y, t, k]), 8) for t in range(40)] for x, y in zip(a, b, strict=True)]
+    assert (shared == np.array(want)).all()
+    share = ngram_join.agreement((first[a], rest[a]), (first[b], rest[b]), 8).mean((1, 2))
+    true = np.array([len(np.intersect1d(sets[x], sets[y])) / len(np.union1d(sets[x], sets[y])) for x, y in zip(a, b, strict=True)])
+    assert np.abs(share - true).max() < 0.15
+
+
+def test_neighbours_hold_the_tries_of_every_depth(spark):
+    """Rows that share a prefix of d values are joined by neighbours that share d or more, over ranges' ends too."""
+    rng = np.random.default_rng(6)
+    first = rng.integers(0, 3, (60, 2)) << 48 | rng.integers(0, 2, (60, 2)) << 32
+    rest = rng.integers(0, 2, (60, 2)) << 48
+    rows = [(k, first[k].tolist(), rest[k].tolist()) for k in range(60)]
+    pairs = ngram_join.neighbours(spark.createDataFrame(rows, "rep long, first array<long>, rest array<long>"), 2, 8, 1).collect()
+    value = lambda k, t: [(int(x) >> s) & 0xFFFF for x in (first[k, t], rest[k, t]) for s in (48, 32, 16, 0)]
+    for d in (1, 2, 3, 5):
+        links = [(a, b) for a in range(60) for b in range(a) if any(value(a, t)[:d] == value(b, t)[:d] for t in range(2))]
+        assert reach(range(60), links) == reach(range(60), [(r.a, r.b) for r in pairs if r.depth >= d])
+
+
+@pytest.mark.parametrize(("similar", "level"), [(0.99, 8), (0.82, 6), (None, 6)])
+def test_prefixes_are_shortened_until_the_recall_is_reached(spark, similar, level):
+    rng = np.random.default_rng(8)
+    rows, pairs = [], []
+    for k in range(0 if similar is None else 400):
+        own = rng.integers(0, 2**16, (2, 40, 8))
+        own[1] = np.where(rng.random((40, 8)) < similar, own[0], own[1])
+        for j, x in enumerate(own):
+            packed = [sum(x[:, i + 4 * h].astype(object) << (48 - 16 * i) for i in range(4)) for h in (0, 1)]
+            rows.append((2 * k + j, *[[int(v) - (1 << 64) if int(v) >> 63 else int(v) for v in p] for p in packed]))
+        pairs.append((2 * k, 2 * k + 1, 8))
+    classes = spark.createDataFrame(rows, "rep long, first array<long>, rest array<long>")
+    pairs = spark.createDataFrame(pairs, "a long, b long, depth int")
+    assert ngram_join.level_of(pairs, classes, 40, 8, 6, 0.8, 0.99999) == level
+
+
 def test_ngram_null_repeated_empty(spark, docs_of):
     t = "a b c d e f g h"
     rows = ngram_join.join(docs_of([t, t, t, "x y z u v", None], ids=[None, 3, 3, 3, None])).collect()
