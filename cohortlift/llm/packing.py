@@ -24,6 +24,7 @@ from __future__ import annotations
 import array
 import functools
 import math
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,10 @@ SLICE_CHARS = 1 << 20
 ID_BYTES = functools.partial(array.array, "I")
 LOWER_BY_CONTEXT = set("\u0130\u03a3")  # letters that str.lower does not lower one by one
 
+#: Byte-level tokenizers write a byte as the character of its number if that is printable in Latin-1, else as one from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+
 
 class WordIds:
     """Ids (little-endian uint32 bytes) of texts, each blank-separated chunk encoded once.
@@ -55,21 +60,32 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # chunks met before the last change of generations
 
     def _learn(self, chunks: set[str]) -> None:
-        known, heads, cut = self.known, set(PUNCTUATION), []
+        known, older, heads, cut = self.known, self.older, list(PUNCTUATION), []
         for c in chunks:
-            if c[-1:] in PUNCTUATION and c[:-1].isalpha():
-                heads.add(c[:-1])
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+            elif c[-1:] in PUNCTUATION and c[:-1].isalpha():
+                heads.append(c[:-1])
                 cut.append(c)
             else:
-                heads.add(c)
-        heads = [c for c in heads if c not in known]
+                heads.append(c)
         tokens = self.tokenizer.model.tokenize
         rest = []
         for c in heads:
-            if c.isascii() and c.isalpha():  # the tokenizer's other steps leave it as it is
+            if c in known:
+                continue
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+            # of letters in lower case, the tokenizer's other steps only write the bytes as characters
+            elif not c.isalpha() or c != c.lower():
+                rest.append(c)
+            elif c.isascii():
                 known[c] = ID_BYTES([k.id for k in tokens(c)]).tobytes()
+            elif unicodedata.is_normalized("NFC", c):
+                known[c] = ID_BYTES([k.id for k in tokens(c.encode().decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes()
             else:
                 rest.append(c)
         for c, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
@@ -79,12 +95,16 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+        if len(self.known) > CACHE_WORDS // 2:  # what was met since the last change stays at hand
+            self.known, self.older = {}, self.known
         known, split, new = self.known, [], set()
         for text in texts:
-            if text.isascii() or not (LOWER_BY_CONTEXT & set(text)):
+            if text.isascii():
                 text = text.lower()
+            elif not (LOWER_BY_CONTEXT & set(text)) and unicodedata.is_normalized("NFC", text):
+                low = text.lower()
+                if unicodedata.is_normalized("NFC", low):  # else the tokenizer, which composes first, lowers it
+                    text = low
             chunks = text.replace("\n", " ").split(" ")
             ids = list(map(known.get, chunks))
             if None in ids:

@@ -18,7 +18,7 @@ def reference_ids(text):
 
 TEXTS = [
     "Hello, World. don't STOP!", None, "", " a  b\n\nc\t d ", "İstanbul ΣΑΣ ὈΔΥΣΣΕΎΣ", "été é́", "x" * 3000, "a... b?! 1,234.5 't",
-    "<|endoftext|> <|EndOfText|>", "日本語 テキスト　です", "word " * 700, "naïve, über. ÉTÉ.", "a\x85b c\x1cd", "It's we'Ll 'S",
+    "Σ Hello WORLD, İ", "\u01c5 \u0149 ﬁn ß ẞ \u1e9e straße. ÀÉ àé \u212b ª ʰ ໂ", "<|endoftext|> <|EndOfText|>", "日本語 テキスト　です", "word " * 700, "naïve, über. ÉTÉ.", "a\x85b c\x1cd", "It's we'Ll 'S",
 ]
 
 
@@ -70,6 +70,15 @@ def test_empty_and_repeated(spark, docs_of):
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
 
 
+def test_chunks_in_both_generations_and_all_letters(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 64)
+    words = packing.WordIds(PATH)
+    letters = [c for c in map(chr, [*range(0x80, 0x2000), *range(0x1d00, 0x1e00), *range(0xfb00, 0xfb10)]) if c.isalpha()]
+    texts = [" ".join(letters[k : k + 40]) + f" a{c}b. {c.upper()}x" for k, c in enumerate(letters) if k % 25 == 0] + ["common word."] * 3
+    for text in texts + texts[:20]:
+        assert np.frombuffer(words.of([text])[0], "<u4").tolist() == reference_ids(text)[:-1], text
+
+
 def test_sequences_hold_every_row_as_often_as_it_is_there(spark, docs_of):
     docs = docs_of(["a b c", "a b c", None, "d e", "f", ""], ids=[1, 1, None, None, 2, 2])
     placed = packing.pack(packing.tokenize(docs, PATH), max_tokens=4096)
