@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Spark's setting to remove an execution's shuffle files at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
@@ -27,12 +31,18 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
-    Cuts the lineage: a lost executor costs running tasks only. The table is
-    removed when the application ends, or by ``discard``.
+    Cuts the lineage: a lost executor costs running tasks only. The shuffle
+    files of the write go with its end, instead of when the driver's garbage is
+    collected. The table is removed when the application ends, or by ``discard``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.deleteOnExit(at)
