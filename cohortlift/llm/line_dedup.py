@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 EDITS, MIN_CHARS, MIN_NEAR = 2, 10, 30
-#: Letters whose counts are compared before the distance; any sixteen would be right.
+#: Letters whose counts are compared before the distance; any sixteen would be right, frequent ones first shorten the line for the rest.
 LETTERS = "etnriaosldhucmgb"
 
 
@@ -70,11 +70,12 @@ def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts, modulo 16, of sixteen letters in the half bytes of a long."""
-    out = F.lit(0).cast("long")
+    """Counts, modulo 16, of the letters in the half bytes of a long; each letter is counted in what the ones before have left."""
+    out, rest = F.lit(0).cast("long"), line
     for k, c in enumerate(LETTERS):
-        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(15)), 4 * k))
+        less = F.replace(rest, F.lit(c), F.lit(""))
+        n = F.octet_length(rest) - F.octet_length(less)
+        out, rest = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(15)), 4 * k)), less
     return out
 
 
@@ -143,13 +144,16 @@ def _near_firsts(docs: DataFrame, edits: int, min_near: int, max_broadcast: int)
     long = _lines(docs).select("line").withColumn("n", F.length("line")).filter(F.col("n") >= min_near)
     line, n = F.col("line"), F.col("n")
     index, probe = index_keys(line, n, edits), probe_keys(line, n, edits)
+    kinds = len(index)
     # one row per different line, partially aggregated; its keys are plain columns, so that hashing aggregates them
     keys = [k.alias(f"k{i}") for i, k in enumerate([*index, *probe])]
     keyed = long.select(F.xxhash64("line").alias("id"), letter_counts(line).alias("letters"), *keys)
     keyed = keyed.groupBy("id").agg(*[F.first(c).alias(c) for c in keyed.columns[1:]])
-    at = F.array(*[f"k{i}" for i in range(len(index))]), F.array(*[f"k{i}" for i in range(len(index), len(keys))])
-    index = keyed.select("id", "letters", F.explode(at[0]).alias("key"))
-    probe = keyed.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), F.explode(at[1]).alias("key"))
+    # both sides unfold the same columns, so that they read one shuffle and letters and keys are computed once
+    unfolded = keyed.select("id", "letters", F.posexplode(F.array(*[f"k{i}" for i in range(len(keys))])).alias("kind", "key"))
+    index = unfolded.filter(F.col("kind") < kinds).select("id", "letters", "key")
+    probe = unfolded.filter(F.col("kind") >= kinds)
+    probe = probe.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"), "key")
     pair = index.join(probe, "key").filter((F.col("id") != F.col("id2")) & letters_close(F.col("letters"), F.col("letters2"), edits))
     pair = pair.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
     pair = written(pair, "line_pairs")
