@@ -28,6 +28,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from .common import text_of, worker_cache, written
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 PUNCTUATION = ".,;:!?"
 CACHE_WORDS = 350_000
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 22
 ID_BYTES = functools.partial(array.array, "I")
 LOWER_BY_CONTEXT = set("\u0130\u03a3")  # letters that str.lower does not lower one by one
 
@@ -62,62 +63,73 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # chunks met before the last change of generations
 
-    def _learn(self, chunks: set[str]) -> None:
-        known, older, heads, cut = self.known, self.older, list(PUNCTUATION), []
+    def _learn(self, chunks: list[str]) -> None:
+        known, older, tokens = self.known, self.older, self.tokenizer.model.tokenize
+        rest, cut = [], []
         for c in chunks:
             if (ids := older.get(c)) is not None:
                 known[c] = ids
-            elif c[-1:] in PUNCTUATION and c[:-1].isalpha():
-                heads.append(c[:-1])
-                cut.append(c)
-            else:
-                heads.append(c)
-        tokens = self.tokenizer.model.tokenize
-        rest = []
-        for c in heads:
-            if c in known:
                 continue
-            if (ids := older.get(c)) is not None:
-                known[c] = ids
+            word = c
+            if not c.isalpha():
+                word = c[:-1]
+                if c[-1:] not in PUNCTUATION or not word.isalpha():
+                    rest.append(c)
+                    continue
+                cut.append(c)
+                if word in known:
+                    continue
+                if (ids := older.get(word)) is not None:
+                    known[word] = ids
+                    continue
             # of letters in lower case, the tokenizer's other steps only write the bytes as characters
-            elif not c.isalpha() or c != c.lower():
-                rest.append(c)
-            elif c.isascii():
-                known[c] = ID_BYTES([k.id for k in tokens(c)]).tobytes()
-            elif unicodedata.is_normalized("NFC", c):
-                known[c] = ID_BYTES([k.id for k in tokens(c.encode().decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes()
+            if word.isascii() and word.islower():
+                known[word] = ID_BYTES([k.id for k in tokens(word)]).tobytes()
+            elif not word.isascii() and word == word.lower() and unicodedata.is_normalized("NFC", word):
+                known[word] = ID_BYTES([k.id for k in tokens(word.encode().decode("latin-1").translate(BYTE_CHARACTERS))]).tobytes()
             else:
-                rest.append(c)
-        for c, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+                rest.append(word)
+        rest += [c for c in PUNCTUATION if c not in known]
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[c] = ID_BYTES(e.ids).tobytes()
         for c in cut:
             known[c] = known[c[:-1]] + known[c[-1]]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
+        """The ids of each text.
+
+        Arrow splits the texts and numbers their different chunks; only those
+        are looked up, and the texts' ids are gathered by number.
+        """
         if len(self.known) > CACHE_WORDS // 2:  # what was met since the last change stays at hand
             self.known, self.older = {}, self.known
-        known, split, new = self.known, [], set()
+        low = []
         for text in texts:
             if text.isascii():
                 text = text.lower()
             elif not (LOWER_BY_CONTEXT & set(text)) and unicodedata.is_normalized("NFC", text):
-                low = text.lower()
-                if unicodedata.is_normalized("NFC", low):  # else the tokenizer, which composes first, lowers it
-                    text = low
-            chunks = text.replace("\n", " ").split(" ")
-            ids = list(map(known.get, chunks))
-            if None in ids:
-                new.update(c for c, i in zip(chunks, ids, strict=True) if i is None)
-                split.append(chunks)
-            else:
-                split.append(b"".join(ids))
-        self._learn(new)
-        ids = [x if isinstance(x, bytes) else b"".join(map(known.__getitem__, x)) for x in split]
+                lower = text.lower()
+                if unicodedata.is_normalized("NFC", lower):  # else the tokenizer, which composes first, lowers it
+                    text = lower
+            low.append(text.replace("\n", " "))
+        split = pc.split_pattern(pa.array(low, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.known
+        if new := [c for c in chunks if c not in known]:
+            self._learn(new)
+        ids = list(map(known.__getitem__, chunks))
         for c in new:
             if len(c) > 64:
-                del self.known[c]
-        return ids
+                del known[c]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), np.uint32)
+        which = coded.indices.to_numpy()
+        sizes = size[which]
+        ends = np.r_[0, np.cumsum(sizes)]
+        found = flat[np.repeat(first[which] - ends[:-1], sizes) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [found[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, max_tokens: int = 4096, end_id: int = 1) -> DataFrame:

@@ -94,3 +94,18 @@ def test_query_digest(spark):
     for r in op2_best_fit_packing(spark, sf).limit(60).collect():
         ids = reference_ids(text[r["doc_id"]])[r["start"] :][:4096]
         assert r["length"] == len(ids) and r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_only_different_chunks_are_looked_up(monkeypatch):
+    words, seen = packing.WordIds(PATH), []
+
+    class Known(dict):
+        def __getitem__(self, c):
+            seen.append(c)
+            return super().__getitem__(c)
+
+    words.known = Known()
+    texts = ["same words here. " * 500, "same words, here. " * 500, "", *[t or "" for t in TEXTS]]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in words.of(texts)]
+    assert got == [reference_ids(t)[:-1] for t in texts]
+    assert len(seen) < 400
