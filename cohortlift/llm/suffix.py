@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, polynomial, runs, small, text_of, written
 
-SLICE_BYTES = 900 << 10
+SLICE_BYTES = 512 << 10
 RUN_BYTES = 32 << 20
 SPLITTER = 24
 NO_ID = -(1 << 63)
@@ -443,12 +443,14 @@ def removed_spans(docs: DataFrame, length: int = 200, gram: int = 64, entries: i
     each = each.withColumn("place", F.xxhash64("id", "th", "at"))
     classes = each.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min("place").alias("head"))
     grams = classes.groupBy("gram").agg(F.sum("n").alias("all"), F.count("*").alias("classes")).filter("all > 1")
-    classes = classes.join(grams.select("gram", (F.col("classes") > 1).alias("mixed")), "gram")
+    # written, so that its shuffles' files are gone when the anchors are shuffled
+    classes = written(classes.join(grams.select("gram", (F.col("classes") > 1).alias("mixed")), "gram"), "classes")
     candidates = each.join(classes, ["gram", "context"])
     heads = F.col("mixed") & (F.col("place") == F.col("head"))
     candidates = candidates.select("id", "th", "at", "gram", heads.alias("mixed"), (~F.col("mixed") | (F.col("n") > 1)).alias("plain"))
     candidates = written(_per_doc(candidates, F.struct("at", "gram", "mixed", "plain")), "candidates")
     discard(found)
+    discard(classes)
 
     # right contexts are hashed at several lengths, the last one whole
     levels = sorted({gram + (length - gram) * k // 7 for k in range(8)})
